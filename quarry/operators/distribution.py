@@ -19,12 +19,14 @@ def _join_null_safe(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Dat
 
 def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
                           min_count: int | None = None, digits: int | None = 2,
-                          exact: bool = True, count_name: str = "count") -> DataFrame:
+                          exact: bool = True, count_name: str = "count",
+                          decimal_scale: int | None = None) -> DataFrame:
     """count, mean, median, q1, q3 and range (max - min) of ``value`` per group.
 
     ``exact=True`` uses the distributed positional quantiles (no group held in
     one task); ``exact=False`` uses ``percentile_approx`` (bounded sketch).
-    NULL values are ignored by every statistic but ``count``.
+    NULL values are ignored by every statistic but ``count``. ``decimal_scale``
+    makes the quantile interpolation exact decimal (see ``group_quantiles``).
     """
     by = list(by)
     r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
@@ -34,15 +36,17 @@ def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
     if min_count is not None:
         basic = basic.filter(F.col(count_name) >= min_count)
     if exact:
-        q = group_quantiles(df, by, value, {"_med": 0.5, "_q1": 0.25, "_q3": 0.75})
+        q = group_quantiles(df, by, value, {"_med": 0.5, "_q1": 0.25, "_q3": 0.75},
+                            decimal_scale=decimal_scale)
     else:
         q = df.groupBy(*by).agg(
             F.percentile_approx(v, 0.5).alias("_med"), F.percentile_approx(v, 0.25).alias("_q1"),
             F.percentile_approx(v, 0.75).alias("_q3"))
     out = _join_null_safe(basic, q, by)
+    rq = lambda c: r(F.col(c)).cast("double")
     return out.select(*by, count_name, r(F.col("_avg")).alias("avg_value"),
-                      r(F.col("_med")).alias("median_value"), r(F.col("_q1")).alias("q1"),
-                      r(F.col("_q3")).alias("q3"), r(F.col("_range")).alias("value_range"))
+                      rq("_med").alias("median_value"), rq("_q1").alias("q1"),
+                      rq("_q3").alias("q3"), r(F.col("_range")).alias("value_range"))
 
 
 def group_outliers(df: DataFrame, by: Sequence[str], value: str, *, factor: float = 10.0,

@@ -39,7 +39,7 @@ def period_growth(df: DataFrame, ts: str, amount: str, order_key: str, person_ke
 
 def repeat_rate(df: DataFrame, person_key: str, order_key: str, digits: int = 2) -> DataFrame:
     """Persons, persons with more than one distinct order, and their share in %."""
-    per_person = (df.groupBy(person_key, order_key).agg()
+    per_person = (df.select(person_key, order_key).distinct()
                   .groupBy(person_key).agg(F.count(F.col(order_key)).alias("_orders")))
     rep = F.when(F.col("_orders") > 1, F.lit(1)).otherwise(F.lit(0))
     return per_person.agg(
@@ -56,7 +56,7 @@ def cohort_activity(df: DataFrame, person_key: str, ts: str) -> DataFrame:
     the per-person window sees at most one row per calendar month even for a
     person holding a third of all rows, and the final count needs no DISTINCT.
     """
-    pm = df.groupBy(F.col(person_key), month_start(ts).alias("order_month")).agg()
+    pm = df.select(F.col(person_key), month_start(ts).alias("order_month")).distinct()
     pm = pm.withColumn("cohort_month", F.min("order_month").over(Window.partitionBy(person_key)))
     return (pm.groupBy("cohort_month", month_index("cohort_month", "order_month").alias("month_index"))
             .agg(F.count(F.lit(1)).alias("active_customers"))

@@ -107,15 +107,21 @@ def ntile_global(df: DataFrame, k: int, order: Sequence[Column], out_col: str,
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, decimal_scale: int | None = None) -> DataFrame:
     """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group.
 
     Only the (at most two) rows around each requested position leave the
     positioned frame, so no group is ever held in one task's memory.
     Returns ``by`` + one column per entry of ``probs``; NULL values are ignored.
+    With ``decimal_scale`` (e.g. 2 for money) the interpolation runs in exact
+    decimal arithmetic and the result is a DECIMAL, so a midpoint such as
+    x.xx5 is not blurred by binary floating point before it is rounded.
     """
     by = list(by)
-    base = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    v = F.col(value)
+    if decimal_scale is not None:
+        v = v.cast(f"decimal(28,{decimal_scale})")
+    base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
     # row_id-free tie-break: equal values are interchangeable for a quantile,
     # but the range sort still needs a total order to spread a hot value.
     base = base.withColumn("_rid", F.monotonically_increasing_id())
@@ -136,6 +142,8 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
     for name, p in probs.items():
         h = (F.col("_n") - F.lit(1)) * F.lit(float(p))
         frac = h - F.floor(h)
+        if decimal_scale is not None:
+            frac = frac.cast("decimal(20,12)")
         lo_v, hi_v = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         out.append((lo_v + frac * (hi_v - lo_v)).alias(name))
     return picked.select(*out)

@@ -110,8 +110,10 @@ def reviews_per_order(t: TableSet) -> DataFrame:
     """Purchase events act as reviews of the order with the same id (user_id);
     one order can have many. Reduced to count and score sum per order."""
     ev = t.events.filter(F.col("event_type") == "purchase")
+    # scores carry two decimals: summed as exact decimals so averages do not
+    # depend on the order in which partial sums are combined
     return ev.groupBy(F.col("user_id").alias("r_order")).agg(
-        F.count(F.lit(1)).alias("r_cnt"), F.sum("value").alias("r_sum"))
+        F.count("value").alias("r_cnt"), F.sum(F.col("value").cast("decimal(18,2)")).alias("r_sum"))
 
 
 def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = False) -> DataFrame:
@@ -131,7 +133,7 @@ def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = F
                     F.coalesce("t_name", "p_type", F.lit("unknown")).alias("category"),
                     "l_extendedprice", "l_linenumber", fan.alias("_fan"),
                     F.coalesce("r_cnt", F.lit(0)).alias("_rcnt"),
-                    F.coalesce("r_sum", F.lit(0.0)).alias("_rsum"))
+                    F.coalesce("r_sum", F.lit(0).cast("decimal(18,2)")).alias("_rsum"))
 
 
 def _items_summary(items: DataFrame, by: list[str], with_orders: bool) -> DataFrame:
@@ -147,7 +149,9 @@ def _items_summary(items: DataFrame, by: list[str], with_orders: bool) -> DataFr
     if with_orders:
         aggs.insert(0, F.count(F.col("l_orderkey")).alias("orders"))
         aggs.append(F.round(F.sum("_rev") / F.sum("_pn"), 2).alias("avg_item_price"))
-    aggs.append(F.round(F.sum("_rs") / F.nullif(F.sum("_rc"), F.lit(0)), 2).alias("avg_rating"))
+    avg_rating = (F.sum("_rs").cast("decimal(28,2)")
+                  / F.nullif(F.sum("_rc"), F.lit(0)).cast("decimal(18,0)"))
+    aggs.append(F.round(avg_rating, 2).cast("double").alias("avg_rating"))
     return lvl1.groupBy(*by).agg(*aggs)
 
 
@@ -307,7 +311,7 @@ def price_percentiles(spark, d):
     p = t.part.select("p_partkey", F.col("p_type").alias("category"))
     j = l.join(p, l.l_partkey == p.p_partkey).select("category", "l_extendedprice")
     dist = distribution.distribution_by_group(j, ["category"], "l_extendedprice", min_count=50,
-                                              count_name="line_count")
+                                              count_name="line_count", decimal_scale=2)
     out = dist.select("category", "line_count", F.col("avg_value").alias("avg_price"),
                       F.col("median_value").alias("median_price"), "q1", "q3",
                       F.col("value_range").alias("price_range"))
