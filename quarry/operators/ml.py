@@ -7,7 +7,9 @@ feature count, not the data).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -34,8 +36,32 @@ def _vectors(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
+# Fixed value: scikit-learn's default tolerance on the summed squared centre
+# shift, relative to the mean feature variance (1 after standardisation).
+SKLEARN_TOL = 1e-4
+
+
+def _mllib_tol(k: int, tol: float = SKLEARN_TOL) -> float:
+    """MLlib stops when every centre moves less than ``epsilon`` (a distance);
+    a total squared shift of ``tol`` over k centres is about sqrt(tol / k) each."""
+    return math.sqrt(tol / k)
+
+
+def _fit_many(vec: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int, parallel: int):
+    """Fit one k-means per (k, seed). The fits are independent Spark jobs submitted
+    from a small thread pool, so their tasks interleave on the executors instead
+    of each fit waiting for the previous one's per-iteration round trips."""
+    def fit(spec):
+        k, seed = spec
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=_mllib_tol(k),
+                       featuresCol="features", predictionCol="cluster").fit(vec)
+        return k, seed, model, float(model.summary.trainingCost)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
+        return list(pool.map(fit, specs))
+
+
 def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 42,
-                n_init: int = 10, max_iter: int = 100, scale: bool = True):
+                n_init: int = 10, max_iter: int = 300, scale: bool = True, parallel: int = 10):
     """Fit k-means ``n_init`` times (seeds seed..seed+n_init-1) and keep the model
     with the lowest within-cluster sum of squares. Returns (model, assigned
     frame with ``cluster``, cost). Costs are scalars compared on the driver."""
@@ -43,31 +69,24 @@ def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 4
     data = standardize(df, feats) if scale else df
     cols = [c + "_z" for c in feats] if scale else feats
     vec = _vectors(data, cols).cache()
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4,
-                       featuresCol="features", predictionCol="cluster").fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    model, cost = best
+    fits = _fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
+    _, _, model, cost = min(fits, key=lambda f: (f[3], f[1]))
     assigned = model.transform(vec).drop("features")
     return model, assigned, cost
 
 
 def elbow_curve(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), *,
-                seed: int = 42, n_init: int = 10, max_iter: int = 100) -> DataFrame:
+                seed: int = 42, n_init: int = 10, max_iter: int = 300, parallel: int = 10) -> DataFrame:
     """(k, inertia) for every k: best-of-``n_init`` within-cluster sum of squares."""
     spark = df.sparkSession
     feats = list(features)
     vec = _vectors(standardize(df, feats), [c + "_z" for c in feats]).select("features").cache()
-    rows = []
-    for k in ks:
-        costs = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(vec).summary.trainingCost
-                 for i in range(n_init)]
-        rows.append((int(k), float(min(costs))))
+    fits = _fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
+    best: dict[int, float] = {}
+    for k, _, _, cost in fits:
+        best[k] = min(cost, best.get(k, math.inf))
     vec.unpersist()
-    return spark.createDataFrame(rows, "k long, inertia double")
+    return spark.createDataFrame([(int(k), best[k]) for k in ks], "k long, inertia double")
 
 
 def cluster_profile(assigned: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
