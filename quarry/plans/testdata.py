@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import exprs as X
-from quarry.operators import correlation, distribution, explode, explorer, groups, growth, ml
+from quarry.operators import correlation, distribution, explode, explorer, fanout, groups, growth, ml
 from quarry.operators import positions, ranking, reshape, rfm
 from quarry.sources.tables import TableSet
 
@@ -106,53 +106,33 @@ def lines_by_part(t: TableSet, *aggs: Column, where: Column | None = None) -> Da
     return per_part.join(p, per_part.l_partkey == p.p_partkey)
 
 
-def reviews_per_order(t: TableSet) -> DataFrame:
+def reviews(t: TableSet) -> DataFrame:
     """Purchase events act as reviews of the order with the same id (user_id);
-    one order can have many. Reduced to count and score sum per order."""
-    ev = t.events.filter(F.col("event_type") == "purchase")
-    # scores carry two decimals: summed as exact decimals so averages do not
-    # depend on the order in which partial sums are combined
-    return ev.groupBy(F.col("user_id").alias("r_order")).agg(
-        F.count("value").alias("r_cnt"), F.sum(F.col("value").cast("decimal(18,2)")).alias("r_sum"))
+    one order can have many."""
+    return t.events.filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("r_order"), F.col("value").alias("review_score"))
 
 
 def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = False) -> DataFrame:
-    """Items ⋈ part ⟕ translation ⟕ reviews, with the review fan-out kept
-    (an item with n reviews counts n times, as the SQL join does) but computed
-    arithmetically from per-order review counts, so a heavily reviewed order
-    never multiplies rows."""
+    """Items ⋈ part ⟕ translation ⟕ reviews with the review fan-out kept
+    (an item with n reviews counts n times, as the SQL join does), computed by
+    ``fanout.review_weights`` so a heavily reviewed order never multiplies rows."""
     l = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
     p = t.part.select("p_partkey", "p_type")
-    tr = type_translation(spark)
-    r = reviews_per_order(t)
+    tr = type_translation(spark)  # fixed four-row lookup
     j = (l.join(p, l.l_partkey == p.p_partkey)
          .join(F.broadcast(tr), F.col("p_type") == tr.t_type, "left")
-         .join(r, F.col("l_orderkey") == r.r_order, "left"))
-    fan = F.lit(1) if dedupe_reviews else F.greatest(F.coalesce(F.col("r_cnt"), F.lit(0)), F.lit(1))
-    return j.select("l_orderkey", "p_partkey", F.coalesce("t_name", "p_type").alias("category_or_null"),
-                    F.coalesce("t_name", "p_type", F.lit("unknown")).alias("category"),
-                    "l_extendedprice", "l_linenumber", fan.alias("_fan"),
-                    F.coalesce("r_cnt", F.lit(0)).alias("_rcnt"),
-                    F.coalesce("r_sum", F.lit(0).cast("decimal(18,2)")).alias("_rsum"))
+         .select("l_orderkey", "p_partkey", "l_linenumber", "l_extendedprice",
+                 F.coalesce("t_name", "p_type").alias("category_or_null"),
+                 F.coalesce("t_name", "p_type", F.lit("unknown")).alias("category")))
+    return fanout.review_weights(j, reviews(t), "l_orderkey", "r_order", "review_score",
+                                 dedupe=dedupe_reviews)
 
 
 def _items_summary(items: DataFrame, by: list[str], with_orders: bool) -> DataFrame:
-    """Per group: distinct orders (two-level), items, revenue, avg item price, avg rating."""
-    lvl1 = items.groupBy(*by, "l_orderkey").agg(
-        F.sum(F.when(F.col("l_linenumber").isNotNull(), F.col("_fan")).otherwise(0)).alias("_items"),
-        F.sum(F.col("l_extendedprice") * F.col("_fan")).alias("_rev"),
-        F.sum(F.when(F.col("l_extendedprice").isNotNull(), F.col("_fan")).otherwise(0)).alias("_pn"),
-        F.sum("_rcnt").alias("_rc"),
-        F.sum("_rsum").alias("_rs"))
-    aggs = [F.sum("_items").cast("long").alias("items_sold"),
-            F.round(F.sum("_rev"), 2).alias("revenue")]
-    if with_orders:
-        aggs.insert(0, F.count(F.col("l_orderkey")).alias("orders"))
-        aggs.append(F.round(F.sum("_rev") / F.sum("_pn"), 2).alias("avg_item_price"))
-    avg_rating = (F.sum("_rs").cast("decimal(28,2)")
-                  / F.nullif(F.sum("_rc"), F.lit(0)).cast("decimal(18,0)"))
-    aggs.append(F.round(avg_rating, 2).cast("double").alias("avg_rating"))
-    return lvl1.groupBy(*by).agg(*aggs)
+    """Per group: distinct orders, items, revenue, avg item price, avg rating."""
+    return fanout.fanout_summary(items, by, "l_orderkey", "l_linenumber", "l_extendedprice",
+                                 with_orders=with_orders, with_avg_price=with_orders)
 
 
 # --------------------------------------------------------------------------- restaurants (Q1-Q12)
