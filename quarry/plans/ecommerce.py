@@ -29,9 +29,9 @@ def _with_person(tables, orders: DataFrame) -> DataFrame:
 
 
 def kpi_summary(tables) -> DataFrame:
-    o = _with_person(tables, _delivered(tables).select("order_id", "customer_id"))
-    pay = tables["order_payments"].select("order_id", "payment_value")
-    return groups.kpi_summary(o.join(pay, "order_id"), "order_id", "customer_unique_id", "payment_value")
+    pay = tables["order_payments"].groupBy("order_id").agg(F.sum("payment_value").alias("payment_value"))
+    o = _delivered(tables).select("order_id", "customer_id").join(pay, "order_id")
+    return groups.kpi_summary(_with_person(tables, o), "order_id", "customer_unique_id", "payment_value")
 
 
 def monthly_revenue_growth(tables, from_month: str | None = None) -> DataFrame:

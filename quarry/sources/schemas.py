@@ -70,15 +70,6 @@ ECOMMERCE = {
     "geolocation": None,
 }
 
-# The source file of each e-commerce table.
-ECOMMERCE_FILES = {
-    "orders": "olist_orders_dataset.csv", "customers": "olist_customers_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv", "order_payments": "olist_order_payments_dataset.csv",
-    "order_reviews": "olist_order_reviews_dataset.csv", "products": "olist_products_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv", "geolocation": "olist_geolocation_dataset.csv",
-    "category_translation": "product_category_name_translation.csv",
-}
-
 
 def load_restaurants(spark: SparkSession, restaurants_csv: str, country_codes_path: str) -> dict[str, DataFrame]:
     """Latin-1 restaurant CSV (pandas missing words) and the country lookup
@@ -104,8 +95,12 @@ def load_players(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"players": read_csv(spark, path, PLAYERS)}
 
 
-def load_ecommerce(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def load_ecommerce(spark: SparkSession, folder: str,
+                   files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The nine star-schema tables from ``folder``; ``files`` maps a table name to
+    its file name when it is not ``<table>.csv``."""
+    files = files or {}
     out = {}
     for name, cols in ECOMMERCE.items():
-        out[name] = read_csv(spark, os.path.join(folder, ECOMMERCE_FILES[name]), cols)
+        out[name] = read_csv(spark, os.path.join(folder, files.get(name, f"{name}.csv")), cols)
     return out

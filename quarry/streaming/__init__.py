@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every input of the reference is a static file and "late" always means late
+delivery, so there is no stream, watermark or stateful operator to rebuild.
+The batch operators take ordinary DataFrames; a caller with a stream can
+apply them per micro-batch through ``foreachBatch``.
+"""

@@ -44,7 +44,7 @@ def _restaurant_rows():
 def fixture_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("refdata")
     # restaurants (latin-1) and the country lookup
-    _write(d / "zomato.csv", ["Restaurant Name", "Country Code", "City", "Cuisines", "Average Cost for two",
+    _write(d / "restaurants.csv", ["Restaurant Name", "Country Code", "City", "Cuisines", "Average Cost for two",
                               "Price range", "Aggregate rating", "Rating text", "Has Online delivery",
                               "Has Table booking", "Votes"], _restaurant_rows(), encoding="latin-1")
     _write(d / "country_codes.csv", ["Country Code", "Country"], [[1, "India"], [14, "Australia"],
@@ -88,7 +88,7 @@ def fixture_dir(tmp_path_factory):
     _write(d / "players.csv", ["short_name", "club_name", "league_name", "team_position", "player_positions",
                                "age", "overall", "potential", "value_eur", "wage_eur"] + schemas.PLAYER_ATTRIBUTES, pl)
     # e-commerce star
-    ec = d / "olist"
+    ec = d / "shop"
     ec.mkdir()
     orders, customers, items, pays, revs = [], [], [], [], []
     for i in range(120):
@@ -105,19 +105,19 @@ def fixture_dir(tmp_path_factory):
         pays.append([f"o{i}", ["credit_card", "boleto"][i % 2], 1 + i % 4, 20.0 + i])
         for _ in range(i % 3):
             revs.append([f"o{i}", 1 + i % 5])
-    _write(ec / "olist_orders_dataset.csv", ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
+    _write(ec / "orders.csv", ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
                                               "order_delivered_customer_date", "order_estimated_delivery_date"], orders)
-    _write(ec / "olist_customers_dataset.csv", ["customer_id", "customer_unique_id", "customer_state"], customers)
-    _write(ec / "olist_order_items_dataset.csv", ["order_id", "order_item_id", "product_id", "price"], items)
-    _write(ec / "olist_order_payments_dataset.csv", ["order_id", "payment_type", "payment_installments",
+    _write(ec / "customers.csv", ["customer_id", "customer_unique_id", "customer_state"], customers)
+    _write(ec / "order_items.csv", ["order_id", "order_item_id", "product_id", "price"], items)
+    _write(ec / "order_payments.csv", ["order_id", "payment_type", "payment_installments",
                                                       "payment_value"], pays)
-    _write(ec / "olist_order_reviews_dataset.csv", ["order_id", "review_score"], revs)
-    _write(ec / "olist_products_dataset.csv", ["product_id", "product_category_name"],
+    _write(ec / "order_reviews.csv", ["order_id", "review_score"], revs)
+    _write(ec / "products.csv", ["product_id", "product_category_name"],
            [[f"p{k}", ["beleza", "esporte", "", "livros"][k % 4]] for k in range(15)])
-    _write(ec / "product_category_name_translation.csv", ["product_category_name", "product_category_name_english"],
+    _write(ec / "category_translation.csv", ["product_category_name", "product_category_name_english"],
            [["beleza", "health_beauty"], ["esporte", "sports"]])
-    _write(ec / "olist_sellers_dataset.csv", ["seller_id", "seller_state"], [["s1", "SP"]])
-    _write(ec / "olist_geolocation_dataset.csv", ["zip", "lat", "lng"], [["01000", "-23.5", "-46.6"]])
+    _write(ec / "sellers.csv", ["seller_id", "seller_state"], [["s1", "SP"]])
+    _write(ec / "geolocation.csv", ["zip", "lat", "lng"], [["01000", "-23.5", "-46.6"]])
     return d
 
 
@@ -125,11 +125,11 @@ def fixture_dir(tmp_path_factory):
 def data(spark, fixture_dir):
     d = str(fixture_dir)
     out = {}
-    out["restaurants"] = schemas.load_restaurants(spark, f"{d}/zomato.csv", f"{d}/country_codes.csv")
+    out["restaurants"] = schemas.load_restaurants(spark, f"{d}/restaurants.csv", f"{d}/country_codes.csv")
     out["pricing"] = schemas.load_products(spark, f"{d}/products.csv")
     out["supply_chain"] = schemas.load_supply_chain(spark, f"{d}/supply.csv")
     out["players"] = schemas.load_players(spark, f"{d}/players.csv")
-    out["ecommerce"] = schemas.load_ecommerce(spark, f"{d}/olist")
+    out["ecommerce"] = schemas.load_ecommerce(spark, f"{d}/shop")
     return out
 
 
