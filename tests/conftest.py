@@ -21,6 +21,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
