@@ -73,10 +73,18 @@ def scheduled_days(priority: Column) -> Column:
     return F.substring(priority, 1, 1).cast("int") * F.lit(SCHEDULED_DAYS_PER_PRIORITY)
 
 
-def shipments(t: TableSet) -> DataFrame:
-    """lineitem ⋈ orders with shipping mode (= priority), real and scheduled days, late flag."""
+def shipments(t: TableSet, with_geography: bool = False) -> DataFrame:
+    """lineitem ⋈ orders with shipping mode (= priority), real and scheduled days, late flag.
+
+    ``with_geography`` attaches the customer's nation and region to each *order*
+    before the line join (orders are a fraction of lines), so lines are
+    shuffled once, by order key, and never re-shuffled by customer key.
+    """
     l = t.lineitem
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if with_geography:
+        g = _customer_geography(t)
+        o = o.join(g, o.o_custkey == g.c_custkey).drop("c_custkey")
     s = l.join(o, l.l_orderkey == o.o_orderkey)
     real = X.day_diff("o_orderdate", "l_shipdate")
     sched = scheduled_days(F.col("o_orderpriority")).cast("long")
@@ -85,6 +93,15 @@ def shipments(t: TableSet) -> DataFrame:
             .withColumn("late", X.flag(real > sched)))
 
 
+def _customer_geography(t: TableSet) -> DataFrame:
+    """customer -> nation and region names (nation: 25 rows, region: 5, by schema)."""
+    c = t.customer.select("c_custkey", "c_nationkey")
+    n, r = t.nation, t.region
+    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+            .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+            .select("c_custkey", "n_name", "r_name"))
+
+
 def delivered_orders(t: TableSet) -> DataFrame:
     """One row per finished order: purchase date, last ship date (= delivered),
     estimated date (purchase + allowance by priority). Lines are reduced to
@@ -327,9 +344,16 @@ def price_tiers(spark, d):
 
 @query("topk_per_group")
 def topk_per_group(spark, d):
-    """Q16: RANK() <= 3 per group by discount, ties kept."""
+    """Q16: RANK() <= 3 per group by discount, ties kept.
+
+    Exact pre-filter: a line in its brand's top 3 is also in its part's top 3
+    (and a dropped line leaves at least three better lines of its part behind),
+    so lines are first cut to rank <= 3 per part — partially, map-side — and
+    only the survivors meet the part table and the per-brand rank.
+    """
     t = _t(spark, d)
     l = _priced_lines(t).filter((F.col("l_extendedprice") > 0) & F.col("discounted").isNotNull())
+    l = ranking.topk_per_group(l, ["l_partkey"], desc("discount_pct"), 3)
     p = t.part.select("p_partkey", "p_name", F.col("p_brand").alias("category"))
     j = l.join(p, l.l_partkey == p.p_partkey)
     top = ranking.topk_per_group(j, ["category"], desc("discount_pct"), 3)
@@ -422,19 +446,10 @@ def late_by_mode(spark, d):
         count_name="total_lines", order=desc("late_pct") + asc("shipping_mode"))
 
 
-def _region_shipments(t: TableSet) -> DataFrame:
-    s = shipments(t)
-    c = t.customer.select("c_custkey", "c_nationkey")
-    n, r = t.nation, t.region  # fixed-size geography lookups (25 and 5 rows)
-    return (s.join(c, s.o_custkey == c.c_custkey)
-            .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-            .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
-
-
 @query("late_by_region")
 def late_by_region(spark, d):
     """Q23: two-key group (region x mode) with HAVING >= 50."""
-    s = _region_shipments(_t(spark, d))
+    s = shipments(_t(spark, d), with_geography=True)
     return groups.group_profile(
         s, [F.col("r_name").alias("region"), "shipping_mode"],
         [X.rate_pct(F.col("late") == 1, 1).alias("late_pct")], count_name="total_lines",
@@ -466,12 +481,15 @@ def risk_quartiles(spark, d):
     """Q24: burden = avg qty x avg lead days per product (>= 30 rows), NTILE(4) over
     all products (exact, range-partitioned), top 25 by burden."""
     t = _t(spark, d)
-    s = shipments(t)
+    # per-part partial sums first; only they meet the part table
+    per_part = shipments(t).groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("l_quantity").alias("_sq"), F.count("l_quantity").alias("_cq"),
+        F.sum("days_real").alias("_sd"), F.count("days_real").alias("_cd"))
     p = t.part.select("p_partkey", "p_name", "p_type")
-    j = s.join(p, s.l_partkey == p.p_partkey)
+    j = per_part.join(p, per_part.l_partkey == p.p_partkey)
     prod = j.groupBy(F.col("p_name").alias("product_name"), F.col("p_type").alias("category_name")).agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.avg("l_quantity").alias("_q"), F.avg("days_real").alias("_d"))
+        F.sum("_n").cast("long").alias("order_count"),
+        (F.sum("_sq") / F.sum("_cq")).alias("_q"), (F.sum("_sd") / F.sum("_cd")).alias("_d"))
     prod = prod.filter(F.col("order_count") >= 30).select(
         "product_name", "category_name", "order_count",
         F.round("_q", 2).alias("avg_order_quantity"), F.round("_d", 2).alias("avg_lead_time_days"),
@@ -484,7 +502,7 @@ def risk_quartiles(spark, d):
 @query("market_reliability")
 def market_reliability(spark, d):
     """Q25: on-time %, average ratio and distinct regions per market."""
-    s = _region_shipments(_t(spark, d))
+    s = shipments(_t(spark, d), with_geography=True)
     per_region = s.groupBy(F.col("r_name").alias("market"), F.col("n_name").alias("region")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("late").alias("_late"), F.sum("l_tax").alias("_tax"),
         F.count("l_tax").alias("_taxn"))
