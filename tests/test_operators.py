@@ -210,3 +210,29 @@ def test_kpi_summary_equals_distinct_counts(spark):
     want = df.agg(F.countDistinct("o"), F.countDistinct("p"), F.sum("amt")).first()
     assert (r.total_orders, r.total_customers, r.total_revenue) == (want[0], want[1], want[2])
     assert r.avg_order_value == round(want[2] / want[0], 2)
+
+
+def test_distribution_exact_and_approx_agree_on_small_groups(spark):
+    from quarry.operators import distribution
+    rows = [("a", float(v)) for v in range(1, 102)] + [("b", 5.0), ("b", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ex = {r.g: r for r in distribution.distribution_by_group(df, ["g"], "v").collect()}
+    ap = {r.g: r for r in distribution.distribution_by_group(df, ["g"], "v", exact=False).collect()}
+    assert (ex["a"]["count"], ex["a"].median_value, ex["a"].q1, ex["a"].q3) == (101, 51.0, 26.0, 76.0)
+    assert ex["b"].median_value == 6.0 and ex["b"].value_range == 2.0
+    assert ap["a"].median_value == 51.0 and ap["b"]["count"] == 2
+
+
+def test_fanout_dedupe_counts_each_item_once(spark):
+    from quarry.operators import fanout
+    items = spark.createDataFrame([(1, 1, 10.0), (1, 2, 20.0), (2, 1, 5.0)], "o long, i long, price double")
+    reviews = spark.createDataFrame([(1, 5), (1, 3), (1, None)], "o long, score int")
+    items = items.withColumn("g", F.lit("all"))
+    faithful = fanout.fanout_summary(fanout.review_weights(items, reviews, "o", "o", "score"),
+                                     ["g"], "o", "i", "price").first()
+    # order 1 has 3 review rows: its two items count 3 times each; the NULL score is not averaged
+    assert (faithful.orders, faithful.items_sold, faithful.revenue) == (2, 7, 95.0)
+    assert faithful.avg_rating == 4.0
+    deduped = fanout.fanout_summary(fanout.review_weights(items, reviews, "o", "o", "score", dedupe=True),
+                                    ["g"], "o", "i", "price").first()
+    assert (deduped.items_sold, deduped.revenue) == (3, 35.0)
