@@ -70,13 +70,22 @@ def order_person_totals(facts: DataFrame, order_key: str, person_key: str,
 
 
 def kpi_summary(facts: DataFrame, order_key: str, person_key: str, amount: str, *,
-                digits: int = 2) -> DataFrame:
+                digits: int = 2, approx_persons: float | None = None) -> DataFrame:
     """Headline KPIs: distinct orders, distinct persons, revenue, average order value.
 
     Two map-side-combined aggregations (per order, then per person) followed by a
     one-row global aggregate; no row is copied per distinct count.
+    ``approx_persons`` (a relative standard deviation, e.g. 0.01) counts persons
+    with HyperLogLog++ over the per-order rows instead: fixed-size sketches,
+    no per-person shuffle.
     """
     per_order = order_person_totals(facts, order_key, person_key, amount)
+    if approx_persons is not None:
+        return per_order.agg(
+            F.count(F.col(order_key)).alias("total_orders"),
+            F.approx_count_distinct(person_key, approx_persons).alias("total_customers"),
+            F.round(F.sum("_amount"), digits).alias("total_revenue"),
+            F.round(F.sum("_amount") / F.count(F.col(order_key)), digits).alias("avg_order_value"))
     per_person = per_order.groupBy(person_key).agg(
         F.count(F.col(order_key)).alias("_orders"), F.sum("_amount").alias("_amount"))
     return per_person.agg(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import exprs as X
-from quarry.operators import correlation, distribution, explorer, groups, ranking
+from quarry.operators import distribution, explorer, groups, ranking
 
 # Price tier cut points and labels.
 PRICE_TIERS = [(500, "1. Budget (<500)"), (2000, "2. Mid (500-2000)"), (10000, "3. Premium (2000-10000)")]

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints written by the positional operators are removed once the
+    # DataFrame that owns them is garbage-collected on the driver
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

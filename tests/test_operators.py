@@ -236,3 +236,13 @@ def test_fanout_dedupe_counts_each_item_once(spark):
     deduped = fanout.fanout_summary(fanout.review_weights(items, reviews, "o", "o", "score", dedupe=True),
                                     ["g"], "o", "i", "price").first()
     assert (deduped.items_sold, deduped.revenue) == (3, 35.0)
+
+
+def test_kpi_summary_approximate_persons(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 1000).alias("o"), (F.col("id") % 400).alias("p"),
+                                     F.lit(1.0).alias("amt"))
+    exact = groups.kpi_summary(df, "o", "p", "amt").first()
+    approx = groups.kpi_summary(df, "o", "p", "amt", approx_persons=0.01).first()
+    assert (exact.total_orders, exact.total_customers) == (1000, 400)
+    assert approx.total_orders == 1000 and abs(approx.total_customers - 400) <= 16
+    assert approx.total_revenue == exact.total_revenue == 3000.0
