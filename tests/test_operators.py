@@ -239,7 +239,7 @@ def test_fanout_dedupe_counts_each_item_once(spark):
 
 
 def test_kpi_summary_approximate_persons(spark):
-    df = spark.range(0, 3000).select((F.col("id") % 1000).alias("o"), (F.col("id") % 400).alias("p"),
+    df = spark.range(0, 3000).select((F.col("id") % 1000).alias("o"), (F.col("id") % 1000 % 400).alias("p"),
                                      F.lit(1.0).alias("amt"))
     exact = groups.kpi_summary(df, "o", "p", "amt").first()
     approx = groups.kpi_summary(df, "o", "p", "amt", approx_persons=0.01).first()
