@@ -2,7 +2,7 @@
 
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
 Compares row count, column names, type families and an order-insensitive
-multiset of rows (floats compared after rounding to 9 decimals).
+multiset of rows (floats compared after rounding to 9 decimals; ORACLE_EXACT=1 compares them bit for bit).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import duckdb
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))  # compare doubles bit for bit
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -35,7 +37,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9) + 0.0
+        return v + 0.0 if EXACT else round(v, 9) + 0.0
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
