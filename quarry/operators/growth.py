@@ -73,3 +73,14 @@ def retention_pct(cohorts: DataFrame, digits: int = 3) -> DataFrame:
             .withColumn("retention_pct",
                         F.bround(F.col("active_customers") / F.col("_size"), digits) * F.lit(100.0))
             .drop("_size"))
+
+
+def retention_triangle(retention: DataFrame, value: str = "retention_pct") -> DataFrame:
+    """The long cohort table pivoted wide: one row per cohort, one column per
+    month index ("0", "1", ...). The column list comes from one scalar (the
+    largest index, bounded by the calendar), so the pivot runs no extra job to
+    discover values and never moves the table through the driver."""
+    top = retention.agg(F.max("month_index")).first()[0]
+    indexes = list(range(0, (top or 0) + 1))
+    wide = (retention.groupBy("cohort_month").pivot("month_index", indexes).agg(F.first(value)))
+    return wide.select("cohort_month", *[F.col(f"`{i}`") for i in indexes]).orderBy("cohort_month")

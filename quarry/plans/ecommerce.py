@@ -100,6 +100,11 @@ def cohort_retention_pct(tables) -> DataFrame:
     return growth.retention_pct(monthly_cohort_retention(tables))
 
 
+def cohort_retention_triangle(tables) -> DataFrame:
+    """M8, wide form: one row per cohort, one column per month index."""
+    return growth.retention_triangle(cohort_retention_pct(tables))
+
+
 def top_customers_by_ltv(tables) -> DataFrame:
     o = _with_person(tables, _delivered(tables).select("order_id", "customer_id"))
     pay = tables["order_payments"].groupBy("order_id").agg(F.sum("payment_value").alias("_v"))
@@ -138,5 +143,6 @@ def filtered_products(tables, category: str | None = None) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     kpi_summary, monthly_revenue_growth, top_categories, order_fulfillment_summary, regional_fulfillment,
-    repeat_purchase_rate, monthly_cohort_retention, cohort_retention_pct, top_customers_by_ltv,
+    repeat_purchase_rate, monthly_cohort_retention, cohort_retention_pct, cohort_retention_triangle,
+    top_customers_by_ltv,
     payment_type_breakdown, category_options, filtered_products)}

@@ -756,6 +756,12 @@ def retention_pct(spark, d):
     return growth.retention_pct(_cohorts(spark, d))
 
 
+@query("retention_triangle")
+def retention_triangle(spark, d):
+    """M8: the retention table pivoted to the cohort triangle (one column per month index)."""
+    return growth.retention_triangle(growth.retention_pct(_cohorts(spark, d)))
+
+
 @query("top_ltv")
 def top_ltv(spark, d):
     """Q45: person x state -> orders and lifetime value, top 20."""
