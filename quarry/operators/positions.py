@@ -14,7 +14,8 @@ with the work spread over all partitions:
    re-sample different range bounds and renumber rows;
 4. count rows per (partition, group) — at most #groups + #partitions rows —
    and turn the counts into offsets with a prefix sum;
-5. join the offsets back: position = offset + local index within the group.
+5. join the offsets back (a broadcast: of proven size without groups, after a
+   row count with groups): position = offset + local index within the group.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import broadcast_if_small
 from quarry.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33
@@ -73,7 +75,8 @@ def with_positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (
     cond = [staged["_pid"] == stats["_spid"]]
     cond += [staged[c].eqNullSafe(stats[g]) for c, g in zip(by, gnames)]
     # Without groups the stats side has one row per partition: a proven bound.
-    right = F.broadcast(stats) if not by else stats
+    # With groups it has at most #groups + #partitions rows: broadcast after a count.
+    right = F.broadcast(stats) if not by else broadcast_if_small(stats)
     joined = staged.join(right, on=cond, how="inner")
     return (joined
             .withColumn(pos_col, F.col("_before") + F.col("_li") - F.col("_first") + F.lit(1))

@@ -66,7 +66,9 @@ SCHEDULED_DAYS_PER_PRIORITY = 30  # days allowed per priority level (1-URGENT =
 
 
 def type_translation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TYPE_TRANSLATION, "t_type string, t_name string")
+    """The fixed lookup as a local VALUES relation (planned as LocalTableScan)."""
+    rows = ", ".join(f"('{a}', '{b}')" for a, b in TYPE_TRANSLATION)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(t_type, t_name)")
 
 
 def scheduled_days(priority: Column) -> Column:
