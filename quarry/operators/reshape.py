@@ -8,18 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def table_profile(df: DataFrame) -> DataFrame:
-    """(column_name, non_null_count, row_count) for every column, from one aggregate."""
+def table_profile(df: DataFrame, with_types: bool = True) -> DataFrame:
+    """(column_name, dtype, non_null_count, row_count) for every column, from one
+    aggregate. ``dtype`` is the Spark SQL type name, taken from the schema at
+    plan time (no data is read for it)."""
     aggs = [F.count(F.col(c)).alias(c) for c in df.columns]
     wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    return wide.unpivot(ids=["_rows"], values=df.columns, variableColumnName="column_name",
-                        valueColumnName="non_null_count").select(
-        "column_name", "non_null_count", F.col("_rows").alias("row_count"))
+    long = wide.unpivot(ids=["_rows"], values=df.columns, variableColumnName="column_name",
+                        valueColumnName="non_null_count")
+    cols = ["column_name", "non_null_count", F.col("_rows").alias("row_count")]
+    if with_types:
+        types = F.create_map(*[x for name, t in df.dtypes for x in (F.lit(name), F.lit(t))])
+        cols.insert(1, types[F.col("column_name")].alias("dtype"))
+    return long.select(*cols)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column_name, null_count, null_share) for columns with at least one null."""
-    prof = table_profile(df)
+    prof = table_profile(df, with_types=False)
     nulls = F.col("row_count") - F.col("non_null_count")
     return (prof.withColumn("null_count", nulls)
             .withColumn("null_share", F.round(nulls / F.col("row_count"), 4))

@@ -192,8 +192,8 @@ def test_repeat_rate(spark):
 
 def test_profile_melt_and_pivot(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, 3.0, None)], "a long, b double, c string")
-    prof = {r.column_name: (r.non_null_count, r.row_count) for r in reshape.table_profile(df).collect()}
-    assert prof == {"a": (2, 2), "b": (1, 2), "c": (1, 2)}
+    prof = {r.column_name: (r.dtype, r.non_null_count, r.row_count) for r in reshape.table_profile(df).collect()}
+    assert prof == {"a": ("bigint", 2, 2), "b": ("double", 1, 2), "c": ("string", 1, 2)}
     miss = [(r.column_name, r.null_count) for r in reshape.missing_counts(df).collect()]
     assert sorted(miss) == [("b", 1), ("c", 1)]
     long = spark.createDataFrame([("r1", "m1", 1.0), ("r1", "m2", 2.0), ("r2", "m1", 3.0)], "r string, m string, v double")
