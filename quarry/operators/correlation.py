@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.exprs import safe_corr
+from quarry.functions.exprs import safe_corr, sql_round
 
 
 def correlations(df: DataFrame, pairs: dict[str, tuple[str, str]], digits: int | None = 3) -> DataFrame:
@@ -14,7 +14,7 @@ def correlations(df: DataFrame, pairs: dict[str, tuple[str, str]], digits: int |
     aggs = []
     for name, (x, y) in pairs.items():
         c = safe_corr(x, y)
-        aggs.append((F.round(c, digits) if digits is not None else c).alias(name))
+        aggs.append((sql_round(c, digits) if digits is not None else c).alias(name))
     return df.agg(*aggs)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import sql_round
 from quarry.operators.joins import broadcast_if_small
 from quarry.operators.positions import group_quantiles
 
@@ -30,7 +31,7 @@ def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
     makes the quantile interpolation exact decimal (see ``group_quantiles``).
     """
     by = list(by)
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = (lambda c: sql_round(c, digits)) if digits is not None else (lambda c: c)
     v = F.col(value)
     basic = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count_name), F.avg(v).alias("_avg"),
                                 (F.max(v) - F.min(v)).alias("_range"))
@@ -44,7 +45,10 @@ def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
             F.percentile_approx(v, 0.5).alias("_med"), F.percentile_approx(v, 0.25).alias("_q1"),
             F.percentile_approx(v, 0.75).alias("_q3"))
     out = _join_null_safe(basic, q, by)
-    rq = lambda c: r(F.col(c)).cast("double")
+    if decimal_scale is not None and digits is not None:  # exact decimal: both engines agree
+        rq = lambda c: F.round(F.col(c), digits).cast("double")
+    else:
+        rq = lambda c: r(F.col(c).cast("double"))
     return out.select(*by, count_name, r(F.col("_avg")).alias("avg_value"),
                       rq("_med").alias("median_value"), rq("_q1").alias("q1"),
                       rq("_q3").alias("q3"), r(F.col("_range")).alias("value_range"))
@@ -65,4 +69,4 @@ def group_outliers(df: DataFrame, by: Sequence[str], value: str, *, factor: floa
     # shuffle join on the group key (and millions of groups fall back to one)
     joined = df.join(broadcast_if_small(stats), on=by, how="inner")
     return (joined.filter(F.col(value) > F.col("median_value") * F.lit(factor))
-            .withColumn("x_median", F.round(F.col(value) / F.col("median_value"), ratio_digits)))
+            .withColumn("x_median", sql_round(F.col(value) / F.col("median_value"), ratio_digits)))

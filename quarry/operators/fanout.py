@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import sql_round
+
 
 def review_weights(items: DataFrame, reviews: DataFrame, item_key: str, review_key: str,
                    score: str, *, dedupe: bool = False, score_scale: int = 2) -> DataFrame:
@@ -47,9 +49,9 @@ def fanout_summary(weighted: DataFrame, by: Sequence[str], order_key: str, item_
     aggs = []
     if with_orders:
         aggs.append(F.count(F.col(order_key)).alias("orders"))
-    aggs += [F.sum("_items").cast("long").alias("items_sold"), F.round(F.sum("_rev"), digits).alias("revenue")]
+    aggs += [F.sum("_items").cast("long").alias("items_sold"), sql_round(F.sum("_rev"), digits).alias("revenue")]
     if with_avg_price:
-        aggs.append(F.round(F.sum("_rev") / F.sum("_pn"), digits).alias("avg_item_price"))
+        aggs.append(sql_round(F.sum("_rev") / F.sum("_pn"), digits).alias("avg_item_price"))
     avg_rating = (F.sum("_rs").cast("decimal(28,2)") / F.nullif(F.sum("_rc"), F.lit(0)).cast("decimal(18,0)"))
     aggs.append(F.round(avg_rating, digits).cast("double").alias("avg_rating"))
     return lvl1.groupBy(*by).agg(*aggs)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.exprs import col
+from quarry.functions.exprs import col, sql_round
 
 
 def group_profile(df: DataFrame, by: Sequence, aggs: Sequence[Column], *,
@@ -84,12 +84,12 @@ def kpi_summary(facts: DataFrame, order_key: str, person_key: str, amount: str,
         return per_order.agg(
             F.count(F.col(order_key)).alias("total_orders"),
             F.approx_count_distinct(person_key, approx_persons).alias("total_customers"),
-            F.round(F.sum("_amount"), digits).alias("total_revenue"),
-            F.round(F.sum("_amount") / F.count(F.col(order_key)), digits).alias("avg_order_value"))
+            sql_round(F.sum("_amount"), digits).alias("total_revenue"),
+            sql_round(F.sum("_amount") / F.count(F.col(order_key)), digits).alias("avg_order_value"))
     per_person = per_order.groupBy(person_key).agg(
         F.count(F.col(order_key)).alias("_orders"), F.sum("_amount").alias("_amount"))
     return per_person.agg(
         F.sum("_orders").cast("long").alias("total_orders"),
         F.count(F.col(person_key)).alias("total_customers"),
-        F.round(F.sum("_amount"), digits).alias("total_revenue"),
-        F.round(F.sum("_amount") / F.sum("_orders"), digits).alias("avg_order_value"))
+        sql_round(F.sum("_amount"), digits).alias("total_revenue"),
+        sql_round(F.sum("_amount") / F.sum("_orders"), digits).alias("avg_order_value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.exprs import month_index, month_start, safe_divide
+from quarry.functions.exprs import half_even_round, month_index, month_start, safe_divide, sql_round
 
 
 def period_growth(df: DataFrame, ts: str, amount: str, order_key: str, person_key: str, *,
@@ -23,13 +23,13 @@ def period_growth(df: DataFrame, ts: str, amount: str, order_key: str, person_ke
     per_person = per_order.groupBy("month", person_key).agg(
         F.count(F.col(order_key)).alias("_orders"), F.sum("_amt").alias("_amt"))
     monthly = per_person.groupBy("month").agg(
-        F.round(F.sum("_amt"), digits).alias("revenue"),
+        sql_round(F.sum("_amt"), digits).alias("revenue"),
         F.sum("_orders").cast("long").alias("order_count"),
         F.count(F.col(person_key)).alias("unique_customers"))
     w = Window.orderBy("month")
     prev = F.lag("revenue").over(w)
     out = (monthly.withColumn("prev_month_revenue", prev)
-           .withColumn("mom_growth_pct", F.round(
+           .withColumn("mom_growth_pct", sql_round(
                safe_divide(F.col("revenue") - F.col("prev_month_revenue"), "prev_month_revenue")
                * F.lit(100.0), growth_digits)))
     if from_period is not None:
@@ -45,7 +45,7 @@ def repeat_rate(df: DataFrame, person_key: str, order_key: str, digits: int = 2)
     return per_person.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.sum(rep).cast("long").alias("repeat_customers"),
-        F.round(F.sum(rep) * F.lit(100.0) / F.count(F.lit(1)), digits).alias("repeat_purchase_rate_pct"))
+        sql_round(F.sum(rep) * F.lit(100.0) / F.count(F.lit(1)), digits).alias("repeat_purchase_rate_pct"))
 
 
 def cohort_activity(df: DataFrame, person_key: str, ts: str) -> DataFrame:
@@ -71,16 +71,16 @@ def retention_pct(cohorts: DataFrame, digits: int = 3) -> DataFrame:
         Window.partitionBy("cohort_month"))
     return (cohorts.withColumn("_size", size)
             .withColumn("retention_pct",
-                        F.bround(F.col("active_customers") / F.col("_size"), digits) * F.lit(100.0))
+                        half_even_round(F.col("active_customers") / F.col("_size"), digits) * F.lit(100.0))
             .drop("_size"))
 
 
 def retention_triangle(retention: DataFrame, value: str = "retention_pct") -> DataFrame:
     """The long cohort table pivoted wide: one row per cohort, one column per
-    month index ("0", "1", ...). The column list comes from one scalar (the
-    largest index, bounded by the calendar), so the pivot runs no extra job to
-    discover values and never moves the table through the driver."""
-    top = retention.agg(F.max("month_index")).first()[0]
-    indexes = list(range(0, (top or 0) + 1))
+    month index that occurs ("0", "1", ...), like a pandas pivot. The column
+    list is the distinct month indexes — at most one per calendar month — read
+    once and passed to ``pivot``, so the table itself never moves through the
+    driver."""
+    indexes = [r[0] for r in retention.select("month_index").distinct().orderBy("month_index").collect()]
     wide = (retention.groupBy("cohort_month").pivot("month_index", indexes).agg(F.first(value)))
     return wide.select("cohort_month", *[F.col(f"`{i}`") for i in indexes]).orderBy("cohort_month")

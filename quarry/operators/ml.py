@@ -17,6 +17,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import half_even_round
+
 
 def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / population std per feature (unit *population* variance, as
@@ -99,7 +101,7 @@ def cluster_profile(assigned: DataFrame, columns: Sequence[str], digits: int = 1
     """Mean of each column per cluster, rounded half-to-even (pandas ``.round``)."""
     return (assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("size"),
-        *[F.bround(F.avg(c), digits).alias(c) for c in columns]).orderBy("cluster"))
+        *[half_even_round(F.avg(c), digits).alias(c) for c in columns]).orderBy("cluster"))
 
 
 def ols_fit(df: DataFrame, label: str, features: Sequence[str], *, log_label: bool = True):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import sql_round
+
 
 def table_profile(df: DataFrame, with_types: bool = True) -> DataFrame:
     """(column_name, dtype, non_null_count, row_count) for every column, from one
@@ -28,7 +30,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
     prof = table_profile(df, with_types=False)
     nulls = F.col("row_count") - F.col("non_null_count")
     return (prof.withColumn("null_count", nulls)
-            .withColumn("null_share", F.round(nulls / F.col("row_count"), 4))
+            .withColumn("null_share", sql_round(nulls / F.col("row_count"), 4))
             .filter(F.col("null_count") > 0)
             .select("column_name", "null_count", "null_share")
             .orderBy(F.col("null_count").desc(), "column_name"))
@@ -38,7 +40,7 @@ def sentinel_share(df: DataFrame, column: str, sentinel=0, digits: int = 4) -> D
     """How many rows carry the sentinel value (e.g. rating 0 = unrated), and their share."""
     hit = F.when(F.col(column) == F.lit(sentinel), F.lit(1)).otherwise(F.lit(0))
     return df.agg(F.sum(hit).cast("long").alias("sentinel_count"),
-                  F.round(F.sum(hit) / F.count(F.lit(1)), digits).alias("sentinel_share"))
+                  sql_round(F.sum(hit) / F.count(F.lit(1)), digits).alias("sentinel_share"))
 
 
 def value_counts(df: DataFrame, column: str, count_name: str = "count") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.exprs import sql_round
 from quarry.operators.positions import ntile_global
 
 # Segment cut points on the summed score (3..12), highest first.
@@ -37,7 +38,7 @@ def customer_rfm(df: DataFrame, customer: str, order_date, amount: str, *,
     cust = per_day.groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
         F.count("order_date").alias("frequency"),
-        F.round(F.sum("_amt"), digits).alias("monetary"))
+        sql_round(F.sum("_amt"), digits).alias("monetary"))
     max_date = cust.agg(F.max("_last").alias("_max_date"))
     cust = (cust.crossJoin(F.broadcast(max_date))
             .withColumn("recency_days", F.datediff("_max_date", "_last").cast("long"))
@@ -56,6 +57,6 @@ def rfm_summary(rfm: DataFrame, digits: int = 2) -> DataFrame:
     """Segment -> customers, total and average revenue, largest revenue first."""
     return (rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        F.round(F.sum("monetary"), digits).alias("total_revenue"),
-        F.round(F.avg("monetary"), digits).alias("avg_revenue_per_customer"))
+        sql_round(F.sum("monetary"), digits).alias("total_revenue"),
+        sql_round(F.avg("monetary"), digits).alias("avg_revenue_per_customer"))
         .orderBy(F.col("total_revenue").desc_nulls_last(), "segment"))

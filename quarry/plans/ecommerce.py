@@ -68,9 +68,9 @@ def order_fulfillment_summary(tables) -> DataFrame:
     o = _fulfilled(tables)
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
     return o.agg(
-        F.round(F.avg(X.day_diff("order_purchase_timestamp", "order_delivered_customer_date")), 2)
+        X.sql_round(F.avg(X.day_diff("order_purchase_timestamp", "order_delivered_customer_date")), 2)
         .alias("avg_delivery_days"),
-        F.round(F.avg(X.day_diff("order_delivered_customer_date", "order_estimated_delivery_date")), 2)
+        X.sql_round(F.avg(X.day_diff("order_delivered_customer_date", "order_estimated_delivery_date")), 2)
         .alias("avg_days_before_estimate"),
         X.rate_pct(late, 2).alias("late_pct"))
 
@@ -80,7 +80,7 @@ def regional_fulfillment(tables) -> DataFrame:
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
     return groups.group_profile(
         o, [F.col("customer_state").alias("state")],
-        [F.round(F.avg(X.day_diff("order_purchase_timestamp", "order_delivered_customer_date")), 2)
+        [X.sql_round(F.avg(X.day_diff("order_purchase_timestamp", "order_delivered_customer_date")), 2)
          .alias("avg_delivery_days"), X.rate_pct(late, 2).alias("late_pct")],
         count_name="order_count", min_count=30, order=[F.col("late_pct").desc(), F.col("state")])
 
@@ -110,7 +110,7 @@ def top_customers_by_ltv(tables) -> DataFrame:
     pay = tables["order_payments"].groupBy("order_id").agg(F.sum("payment_value").alias("_v"))
     j = o.join(pay, "order_id")
     out = j.groupBy("customer_unique_id", "customer_state").agg(
-        F.count("order_id").alias("order_count"), F.round(F.sum("_v"), 2).alias("lifetime_value"))
+        F.count("order_id").alias("order_count"), X.sql_round(F.sum("_v"), 2).alias("lifetime_value"))
     return ranking.top_k(out, [F.col("lifetime_value").desc_nulls_last(), F.col("customer_unique_id")], 20)
 
 
@@ -120,8 +120,8 @@ def payment_type_breakdown(tables) -> DataFrame:
         F.sum("payment_value").alias("_v"), F.sum("payment_installments").alias("_i"),
         F.count("payment_installments").alias("_in"))
     out = per_order.groupBy("payment_type").agg(
-        F.count("order_id").alias("order_count"), F.round(F.sum("_v"), 2).alias("total_revenue"),
-        F.round(F.sum("_i") / F.sum("_in"), 2).alias("avg_installments"))
+        F.count("order_id").alias("order_count"), X.sql_round(F.sum("_v"), 2).alias("total_revenue"),
+        X.sql_round(F.sum("_i") / F.sum("_in"), 2).alias("avg_installments"))
     return out.orderBy(F.col("total_revenue").desc_nulls_last(), F.col("payment_type"))
 
 

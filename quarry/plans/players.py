@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions import exprs as X
 from quarry.operators import correlation, explode, explorer, groups, ml, ranking
 from quarry.sources.schemas import PLAYER_ATTRIBUTES
 
@@ -34,8 +35,8 @@ def value_by_position(tables) -> DataFrame:
     p = tables["players"].filter(F.col("value_eur").isNotNull())
     ex = explode.explode_tokens(p, "player_positions", ",", "position", keep=["overall", "value_eur", "wage_eur"])
     return groups.group_profile(ex, ["position"], [
-        F.round(F.avg("overall"), 1).alias("avg_overall"), F.round(F.avg("value_eur"), 0).alias("avg_value_eur"),
-        F.round(F.avg("wage_eur"), 0).alias("avg_wage_eur")], count_name="player_count",
+        X.sql_round(F.avg("overall"), 1).alias("avg_overall"), X.sql_round(F.avg("value_eur"), 0).alias("avg_value_eur"),
+        X.sql_round(F.avg("wage_eur"), 0).alias("avg_wage_eur")], count_name="player_count",
         order=[F.col("avg_value_eur").desc_nulls_last(), F.col("position")])
 
 
@@ -43,7 +44,7 @@ def roi_by_position(tables) -> DataFrame:
     p = tables["players"].filter(F.col("value_eur").isNotNull() & (F.col("overall") > 0))
     ex = explode.explode_tokens(p, "player_positions", ",", "position", keep=["overall", "value_eur"])
     return groups.group_profile(ex, ["position"], [
-        F.round(F.avg(F.col("value_eur") / F.col("overall")), 0).alias("avg_value_per_overall_point")],
+        X.sql_round(F.avg(F.col("value_eur") / F.col("overall")), 0).alias("avg_value_per_overall_point")],
         count_name="player_count", min_count=30,
         order=[F.col("avg_value_per_overall_point").desc_nulls_last(), F.col("position")])
 
@@ -51,8 +52,8 @@ def roi_by_position(tables) -> DataFrame:
 def league_pay_vs_performance(tables) -> DataFrame:
     p = tables["players"].filter(F.col("league_name").isNotNull() & F.col("wage_eur").isNotNull())
     out = groups.group_profile(p, ["league_name"], [
-        F.round(F.avg("overall"), 1).alias("avg_overall"), F.round(F.avg("wage_eur"), 0).alias("avg_wage_eur"),
-        F.round(F.avg("wage_eur") / F.nullif(F.avg("overall"), F.lit(0)), 0).alias("wage_per_overall_point")],
+        X.sql_round(F.avg("overall"), 1).alias("avg_overall"), X.sql_round(F.avg("wage_eur"), 0).alias("avg_wage_eur"),
+        X.sql_round(F.avg("wage_eur") / F.nullif(F.avg("overall"), F.lit(0)), 0).alias("wage_per_overall_point")],
         count_name="player_count", min_count=100)
     return ranking.top_k(out, [F.col("wage_per_overall_point").desc_nulls_last(), F.col("league_name")], 20)
 
@@ -60,8 +61,8 @@ def league_pay_vs_performance(tables) -> DataFrame:
 def age_curve(tables) -> DataFrame:
     p = tables["players"].filter(F.col("age").between(16, 40))
     return groups.group_profile(p, ["age"], [
-        F.round(F.avg("overall"), 1).alias("avg_overall"), F.round(F.avg("potential"), 1).alias("avg_potential"),
-        F.round(F.avg("value_eur"), 0).alias("avg_value_eur")], count_name="player_count", order=[F.col("age")])
+        X.sql_round(F.avg("overall"), 1).alias("avg_overall"), X.sql_round(F.avg("potential"), 1).alias("avg_potential"),
+        X.sql_round(F.avg("value_eur"), 0).alias("avg_value_eur")], count_name="player_count", order=[F.col("age")])
 
 
 def top_valuable_by_position(tables, position: str) -> DataFrame:

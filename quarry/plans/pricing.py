@@ -26,9 +26,9 @@ def category_overview(tables) -> DataFrame:
     p = _categorized(tables["products"]).filter(
         F.col("retail_price").isNotNull() & F.col("discounted_price").isNotNull())
     return groups.group_profile(p, ["category"], [
-        F.round(F.avg("retail_price"), 2).alias("avg_retail_price"),
-        F.round(F.avg("discounted_price"), 2).alias("avg_discounted_price"),
-        F.round(F.avg("discount_pct"), 2).alias("avg_discount_pct")], count_name="product_count",
+        X.sql_round(F.avg("retail_price"), 2).alias("avg_retail_price"),
+        X.sql_round(F.avg("discounted_price"), 2).alias("avg_discounted_price"),
+        X.sql_round(F.avg("discount_pct"), 2).alias("avg_discount_pct")], count_name="product_count",
         order=[F.col("product_count").desc(), F.col("category")], limit=20)
 
 
@@ -47,8 +47,8 @@ def price_tier_binning(tables) -> DataFrame:
     p = (p.withColumn("price_tier", X.tier_bin("retail_price", PRICE_TIERS, PRICE_TIER_TOP))
          .withColumn("discount_pct", X.discount_pct("retail_price", "discounted_price")))
     return groups.group_profile(p, ["price_tier"], [
-        F.round(F.avg("retail_price"), 2).alias("avg_retail_price"),
-        F.round(F.avg("discount_pct"), 2).alias("avg_discount_pct")], count_name="product_count",
+        X.sql_round(F.avg("retail_price"), 2).alias("avg_retail_price"),
+        X.sql_round(F.avg("discount_pct"), 2).alias("avg_discount_pct")], count_name="product_count",
         order=[F.col("price_tier")])
 
 
@@ -64,8 +64,8 @@ def top_discounted_products(tables) -> DataFrame:
 def brand_pricing(tables) -> DataFrame:
     p = tables["products"].filter(F.col("brand").isNotNull() & F.col("retail_price").isNotNull())
     return groups.group_profile(p, ["brand"], [
-        F.round(F.avg("retail_price"), 2).alias("avg_retail_price"),
-        F.round(F.avg("discounted_price"), 2).alias("avg_discounted_price")], count_name="product_count",
+        X.sql_round(F.avg("retail_price"), 2).alias("avg_retail_price"),
+        X.sql_round(F.avg("discounted_price"), 2).alias("avg_discounted_price")], count_name="product_count",
         min_count=30, order=[F.col("product_count").desc(), F.col("brand")], limit=20)
 
 
@@ -73,7 +73,7 @@ def discount_vs_rating_correlation(tables) -> DataFrame:
     p = tables["products"].withColumn("rating", X.safe_double("product_rating"))
     p = p.filter(F.col("rating").isNotNull() & (F.col("retail_price") > 0))
     p = p.withColumn("discount_pct", X.discount_pct("retail_price", "discounted_price"))
-    return p.agg(F.round(X.safe_corr("discount_pct", "rating"), 3).alias("discount_vs_rating_corr"),
+    return p.agg(X.sql_round(X.safe_corr("discount_pct", "rating"), 3).alias("discount_vs_rating_corr"),
                  F.count(F.lit(1)).alias("rated_product_count"))
 
 

@@ -19,11 +19,11 @@ RATING, COST = "aggregate_rating", "average_cost_for_two"
 
 
 def _rated_avg(digits: int = 2):
-    return F.round(X.avg_where(RATING, F.col(RATING) > 0), digits).alias("avg_rating")
+    return X.sql_round(X.avg_where(RATING, F.col(RATING) > 0), digits).alias("avg_rating")
 
 
 def _avg_cost():
-    return F.round(F.avg(COST), 2).alias("avg_cost_for_two")
+    return X.sql_round(F.avg(COST), 2).alias("avg_cost_for_two")
 
 
 def restaurants_per_country(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -49,7 +49,7 @@ def top_cuisines_by_count(tables) -> DataFrame:
 def top_cuisines_by_rating(tables) -> DataFrame:
     r = tables["restaurants"].filter(F.col(RATING) > 0)
     ex = explode.explode_tokens(r, "cuisines", ",", "cuisine", keep=[RATING])
-    return groups.group_profile(ex, ["cuisine"], [F.round(F.avg(RATING), 2).alias("avg_rating")],
+    return groups.group_profile(ex, ["cuisine"], [X.sql_round(F.avg(RATING), 2).alias("avg_rating")],
                                 count_name="restaurant_count", min_count=20,
                                 order=[F.col("avg_rating").desc_nulls_last(), F.col("cuisine")], limit=20)
 
@@ -67,7 +67,7 @@ def rating_by_price_range(tables) -> DataFrame:
 
 def rating_distribution(tables) -> DataFrame:
     r = tables["restaurants"].filter(F.col(RATING) > 0)
-    return groups.group_profile(r, ["rating_text"], [F.round(F.avg(RATING), 2).alias("avg_rating")],
+    return groups.group_profile(r, ["rating_text"], [X.sql_round(F.avg(RATING), 2).alias("avg_rating")],
                                 count_name="restaurant_count",
                                 order=[F.col("avg_rating").desc_nulls_last(), F.col("rating_text")])
 
@@ -76,13 +76,13 @@ def best_value_restaurants(tables) -> DataFrame:
     r = tables["restaurants"].filter((F.col(RATING) >= 4.0) & (F.col(COST) > 0))
     r = r.select("restaurant_name", "city", "cuisines", F.col(COST).alias("cost_for_two"),
                  F.col(RATING).alias("rating"),
-                 F.round(X.safe_divide(RATING, COST) * F.lit(1000.0), 3).alias("value_score"))
+                 X.sql_round(X.safe_divide(RATING, COST) * F.lit(1000.0), 3).alias("value_score"))
     return ranking.top_k(r, [F.col("value_score").desc_nulls_last(), F.col("restaurant_name")], 20)
 
 
 def online_delivery_impact(tables) -> DataFrame:
     return groups.group_profile(tables["restaurants"], ["has_online_delivery"],
-                                [_rated_avg(), F.round(F.avg("votes"), 1).alias("avg_votes")],
+                                [_rated_avg(), X.sql_round(F.avg("votes"), 1).alias("avg_votes")],
                                 count_name="restaurant_count")
 
 

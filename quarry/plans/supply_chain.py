@@ -24,7 +24,7 @@ def order_date(text_col: str = "order_date_text"):
 def late_shipment_by_mode(tables) -> DataFrame:
     return groups.group_profile(tables["orders"], ["shipping_mode"], [
         F.sum(X.flag(_late())).cast("long").alias("late_orders"), X.rate_pct(_late(), 1).alias("late_pct"),
-        F.round(F.avg(F.col(REAL) - F.col(SCHED)), 2).alias("avg_delay_days")],
+        X.sql_round(F.avg(F.col(REAL) - F.col(SCHED)), 2).alias("avg_delay_days")],
         count_name="total_orders", order=[F.col("late_pct").desc(), F.col("shipping_mode")])
 
 
@@ -40,9 +40,9 @@ def reorder_risk_by_product(tables) -> DataFrame:
         F.count(F.lit(1)).alias("order_count"), F.avg("order_item_quantity").alias("_q"),
         F.avg(REAL).alias("_d"))
     prod = prod.filter(F.col("order_count") >= 30).select(
-        "product_name", "category_name", "order_count", F.round("_q", 2).alias("avg_order_quantity"),
-        F.round("_d", 2).alias("avg_lead_time_days"),
-        F.round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
+        "product_name", "category_name", "order_count", X.sql_round("_q", 2).alias("avg_order_quantity"),
+        X.sql_round("_d", 2).alias("avg_lead_time_days"),
+        X.sql_round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
     order = [F.col("replenishment_burden").desc_nulls_last(), F.col("product_name").asc_nulls_last(),
              F.col("category_name").asc_nulls_last()]
     q = positions.ntile_global(prod, 4, order, "risk_quartile")
@@ -56,8 +56,8 @@ def market_reliability(tables) -> DataFrame:
         F.sum("order_item_profit_ratio").alias("_pr"), F.count("order_item_profit_ratio").alias("_prn"))
     out = per_region.groupBy("market").agg(
         F.sum("_n").cast("long").alias("total_orders"),
-        F.round(F.lit(100.0) - F.sum("_late") * F.lit(100.0) / F.sum("_n"), 1).alias("on_time_pct"),
-        F.round(F.sum("_pr") / F.sum("_prn"), 3).alias("avg_profit_ratio"),
+        X.sql_round(F.lit(100.0) - F.sum("_late") * F.lit(100.0) / F.sum("_n"), 1).alias("on_time_pct"),
+        X.sql_round(F.sum("_pr") / F.sum("_prn"), 3).alias("avg_profit_ratio"),
         F.count("region").alias("regions_served"))
     return out.orderBy(F.col("on_time_pct").desc_nulls_last(), F.col("market"))
 

@@ -164,8 +164,8 @@ def lookup_profile(spark, d):
     j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
     return groups.group_profile(
         j, [F.col("n_name").alias("country")],
-        [F.round(X.avg_where("c_acctbal", F.col("c_acctbal") > 0), 2).alias("avg_positive_balance"),
-         F.round(F.avg("c_acctbal"), 2).alias("avg_balance")],
+        [X.sql_round(X.avg_where("c_acctbal", F.col("c_acctbal") > 0), 2).alias("avg_positive_balance"),
+         X.sql_round(F.avg("c_acctbal"), 2).alias("avg_balance")],
         count_name="customer_count", order=desc("customer_count") + asc("country"))
 
 
@@ -175,8 +175,8 @@ def top_groups(spark, d):
     l = _t(spark, d).lineitem
     return groups.group_profile(
         l, ["l_partkey"],
-        [F.round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
-         F.round(F.avg("l_extendedprice"), 2).alias("avg_price")],
+        [X.sql_round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
+         X.sql_round(F.avg("l_extendedprice"), 2).alias("avg_price")],
         count_name="line_count", order=desc("line_count") + asc("l_partkey"), limit=20)
 
 
@@ -196,7 +196,7 @@ def explode_avg(spark, d):
     j = lines_by_part(t, F.sum("l_discount").alias("_s"), where=F.col("l_discount") > 0)
     ex = explode.explode_tokens(j, "p_name", " ", "token", keep=["_c", "_s"])
     out = ex.groupBy("token").agg(F.sum("_c").cast("long").alias("line_count"),
-                                  F.round(F.sum("_s") / F.sum("_c"), 4).alias("avg_discount"))
+                                  X.sql_round(F.sum("_s") / F.sum("_c"), 4).alias("avg_discount"))
     return out.filter(F.col("line_count") >= 20).orderBy(*desc("avg_discount"), *asc("token")).limit(20)
 
 
@@ -214,8 +214,8 @@ def tier_profile(spark, d):
     l = _t(spark, d).lineitem
     return groups.group_profile(
         l, ["l_linenumber"],
-        [F.round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
-         F.round(F.avg("l_extendedprice"), 2).alias("avg_price")],
+        [X.sql_round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
+         X.sql_round(F.avg("l_extendedprice"), 2).alias("avg_price")],
         count_name="line_count", order=asc("l_linenumber"))
 
 
@@ -223,7 +223,7 @@ def tier_profile(spark, d):
 def label_profile(spark, d):
     """Q7: filtered rows grouped by a label, by average."""
     e = _t(spark, d).events.filter(F.col("value") > 0)
-    return groups.group_profile(e, ["event_type"], [F.round(F.avg("value"), 2).alias("avg_value")],
+    return groups.group_profile(e, ["event_type"], [X.sql_round(F.avg("value"), 2).alias("avg_value")],
                                 count_name="event_count", order=desc("avg_value") + asc("event_type"))
 
 
@@ -231,7 +231,7 @@ def label_profile(spark, d):
 def best_value(spark, d):
     """Q8: value score = score / cost x 1000 (NULLIF-guarded), top 20."""
     p = _t(spark, d).part.filter((F.col("p_size") >= 40) & (F.col("p_retailprice") > 0))
-    p = p.withColumn("value_score", F.round(X.safe_divide("p_size", "p_retailprice") * F.lit(1000.0), 3))
+    p = p.withColumn("value_score", X.sql_round(X.safe_divide("p_size", "p_retailprice") * F.lit(1000.0), 3))
     return ranking.top_k(p.select("p_partkey", "p_name", "p_brand", "p_retailprice", "p_size", "value_score"),
                          desc("value_score") + asc("p_partkey"), 20)
 
@@ -242,8 +242,8 @@ def flag_profile_a(spark, d):
     l = _t(spark, d).lineitem
     return groups.group_profile(
         l, ["l_returnflag"],
-        [F.round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
-         F.round(F.avg("l_quantity"), 1).alias("avg_quantity")], count_name="line_count")
+        [X.sql_round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
+         X.sql_round(F.avg("l_quantity"), 1).alias("avg_quantity")], count_name="line_count")
 
 
 @query("flag_profile_b")
@@ -252,8 +252,8 @@ def flag_profile_b(spark, d):
     l = _t(spark, d).lineitem
     return groups.group_profile(
         l, ["l_linestatus"],
-        [F.round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
-         F.round(F.avg("l_extendedprice"), 2).alias("avg_price")], count_name="line_count")
+        [X.sql_round(X.avg_where("l_discount", F.col("l_discount") > 0), 4).alias("avg_discount"),
+         X.sql_round(F.avg("l_extendedprice"), 2).alias("avg_price")], count_name="line_count")
 
 
 @query("options_distinct")
@@ -296,9 +296,9 @@ def path_overview(spark, d):
     j = per_part.join(p, per_part.l_partkey == p.p_partkey)
     out = j.groupBy("category").agg(
         F.sum("_c").cast("long").alias("product_count"),
-        F.round(F.sum("_r") / F.sum("_c"), 2).alias("avg_retail_price"),
-        F.round(F.sum("_d") / F.sum("_c"), 2).alias("avg_discounted_price"),
-        F.round(F.sum("_p") / F.sum("_pc"), 2).alias("avg_discount_pct"))
+        X.sql_round(F.sum("_r") / F.sum("_c"), 2).alias("avg_retail_price"),
+        X.sql_round(F.sum("_d") / F.sum("_c"), 2).alias("avg_discounted_price"),
+        X.sql_round(F.sum("_p") / F.sum("_pc"), 2).alias("avg_discount_pct"))
     return ranking.top_k(out, desc("product_count") + asc("category"), 20)
 
 
@@ -339,8 +339,8 @@ def price_tiers(spark, d):
     l = l.withColumn("price_tier", X.tier_bin("l_extendedprice", PRICE_TIERS, PRICE_TIER_TOP))
     l = l.withColumn("discount_pct", X.discount_pct("l_extendedprice", "discounted"))
     return groups.group_profile(l, ["price_tier"], [
-        F.round(F.avg("l_extendedprice"), 2).alias("avg_retail_price"),
-        F.round(F.avg("discount_pct"), 2).alias("avg_discount_pct")],
+        X.sql_round(F.avg("l_extendedprice"), 2).alias("avg_retail_price"),
+        X.sql_round(F.avg("discount_pct"), 2).alias("avg_discount_pct")],
         count_name="line_count", order=asc("price_tier"))
 
 
@@ -377,8 +377,8 @@ def brand_pricing(spark, d):
     j = per_part.join(p, per_part.l_partkey == p.p_partkey)
     out = j.groupBy(F.col("p_brand").alias("brand")).agg(
         F.sum("_c").cast("long").alias("line_count"),
-        F.round(F.sum("_r") / F.sum("_c"), 2).alias("avg_retail_price"),
-        F.round(F.sum("_d") / F.sum("_dc"), 2).alias("avg_discounted_price"))
+        X.sql_round(F.sum("_r") / F.sum("_c"), 2).alias("avg_retail_price"),
+        X.sql_round(F.sum("_d") / F.sum("_dc"), 2).alias("avg_discounted_price"))
     out = out.filter(F.col("line_count") >= 30)
     return ranking.top_k(out, desc("line_count") + asc("brand"), 20)
 
@@ -395,7 +395,7 @@ def dirty_text_corr(spark, d):
     rated = (pg.select(_url_number(F.col("url")).alias("rating"),
                        F.length("html").cast("double").alias("size"))
              .filter(F.col("rating").isNotNull() & (F.col("size") > 0)))
-    return rated.agg(F.round(X.safe_corr("size", "rating"), 3).alias("size_vs_number_corr"),
+    return rated.agg(X.sql_round(X.safe_corr("size", "rating"), 3).alias("size_vs_number_corr"),
                      F.count(F.lit(1)).alias("rated_count"))
 
 
@@ -406,7 +406,7 @@ def group_outliers(spark, d):
         F.col("event_type").alias("category"), "event_id", "user_id", "value")
     out = distribution.group_outliers(e, ["category"], "value", factor=10.0, min_count=20)
     out = out.select("category", "event_id", "user_id", "value",
-                     F.round("median_value", 4).alias("median_value"), "x_median")
+                     X.sql_round("median_value", 4).alias("median_value"), "x_median")
     return ranking.top_k(out, desc("x_median") + asc("event_id"), 20)
 
 
@@ -421,7 +421,7 @@ def _explorer_lines(spark, d, category=None, max_price=None):
     """Q21: optional filters, discount desc NULLS LAST, 200 rows."""
     t = _t(spark, d)
     l = t.lineitem.withColumn("discounted", F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))
-    l = l.withColumn("discount_pct", F.when(F.col("l_discount") > 0, F.round(F.col("l_discount") * 100.0, 1)))
+    l = l.withColumn("discount_pct", F.when(F.col("l_discount") > 0, X.sql_round(F.col("l_discount") * 100.0, 1)))
     p = t.part.select("p_partkey", "p_name", "p_brand", F.col("p_type").alias("category"))
     j = l.filter(F.col("l_extendedprice").isNotNull()).join(p, l.l_partkey == p.p_partkey)
     cols = ["p_name", "p_brand", "category", "l_orderkey", "l_linenumber", "l_extendedprice",
@@ -444,7 +444,7 @@ def late_by_mode(spark, d):
     return groups.group_profile(s, ["shipping_mode"], [
         F.sum("late").cast("long").alias("late_lines"),
         X.rate_pct(F.col("late") == 1, 1).alias("late_pct"),
-        F.round(F.avg(F.col("days_real") - F.col("days_scheduled")), 2).alias("avg_delay_days")],
+        X.sql_round(F.avg(F.col("days_real") - F.col("days_scheduled")), 2).alias("avg_delay_days")],
         count_name="total_lines", order=desc("late_pct") + asc("shipping_mode"))
 
 
@@ -473,8 +473,8 @@ def late_matrix(spark, d):
 def late_overall(spark, d):
     """M4: overall late rate and a ratio of two sums."""
     s = shipments(_t(spark, d))
-    return s.agg(F.round(F.avg("late"), 4).alias("late_rate"),
-                 F.round(F.sum(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))
+    return s.agg(X.sql_round(F.avg("late"), 4).alias("late_rate"),
+                 X.sql_round(F.sum(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))
                          / F.sum("l_extendedprice"), 4).alias("net_to_gross"))
 
 
@@ -494,8 +494,8 @@ def risk_quartiles(spark, d):
         (F.sum("_sq") / F.sum("_cq")).alias("_q"), (F.sum("_sd") / F.sum("_cd")).alias("_d"))
     prod = prod.filter(F.col("order_count") >= 30).select(
         "product_name", "category_name", "order_count",
-        F.round("_q", 2).alias("avg_order_quantity"), F.round("_d", 2).alias("avg_lead_time_days"),
-        F.round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
+        X.sql_round("_q", 2).alias("avg_order_quantity"), X.sql_round("_d", 2).alias("avg_lead_time_days"),
+        X.sql_round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
     tiebreak = asc("product_name", "category_name")
     q = positions.ntile_global(prod, 4, desc("replenishment_burden") + tiebreak, "risk_quartile")
     return ranking.top_k(q, desc("replenishment_burden") + tiebreak, 25)
@@ -510,8 +510,8 @@ def market_reliability(spark, d):
         F.count("l_tax").alias("_taxn"))
     out = per_region.groupBy("market").agg(
         F.sum("_n").cast("long").alias("total_lines"),
-        F.round(F.lit(100.0) - F.sum("_late") * F.lit(100.0) / F.sum("_n"), 1).alias("on_time_pct"),
-        F.round(F.sum("_tax") / F.sum("_taxn"), 3).alias("avg_profit_ratio"),
+        X.sql_round(F.lit(100.0) - F.sum("_late") * F.lit(100.0) / F.sum("_n"), 1).alias("on_time_pct"),
+        X.sql_round(F.sum("_tax") / F.sum("_taxn"), 3).alias("avg_profit_ratio"),
         F.count("region").alias("regions_served"))
     return out.orderBy(*desc("on_time_pct"), *asc("market"))
 
@@ -578,9 +578,9 @@ def explode_value(spark, d):
     ex = explode.explode_tokens(j, "p_name", " ", "token", keep=["_c", "_q", "_v", "_w"])
     out = ex.groupBy("token").agg(
         F.sum("_c").cast("long").alias("line_count"),
-        F.round(F.sum("_q") / F.sum("_c"), 1).alias("avg_quantity"),
-        F.round(F.sum("_v") / F.sum("_c"), 0).alias("avg_price"),
-        F.round(F.sum("_w") / F.sum("_c"), 0).alias("avg_retail"))
+        X.sql_round(F.sum("_q") / F.sum("_c"), 1).alias("avg_quantity"),
+        X.sql_round(F.sum("_v") / F.sum("_c"), 0).alias("avg_price"),
+        X.sql_round(F.sum("_w") / F.sum("_c"), 0).alias("avg_retail"))
     return out.orderBy(*desc("avg_price"), *asc("token"))
 
 
@@ -592,7 +592,7 @@ def explode_ratio(spark, d):
                       where=F.col("l_quantity") > 0)
     ex = explode.explode_tokens(j, "p_name", " ", "token", keep=["_c", "_r"])
     out = ex.groupBy("token").agg(F.sum("_c").cast("long").alias("line_count"),
-                                  F.round(F.sum("_r") / F.sum("_c"), 0).alias("avg_price_per_unit"))
+                                  X.sql_round(F.sum("_r") / F.sum("_c"), 0).alias("avg_price_per_unit"))
     return out.filter(F.col("line_count") >= 30).orderBy(*desc("avg_price_per_unit"), *asc("token"))
 
 
@@ -611,9 +611,9 @@ def pay_vs_performance(spark, d):
         F.sum("_c").cast("long").alias("line_count"),
         (F.sum("_q") / F.sum("_qn")).alias("_aq"), (F.sum("_v") / F.sum("_c")).alias("_av"))
     out = out.filter(F.col("line_count") >= 100).select(
-        "league_name", "line_count", F.round("_aq", 1).alias("avg_quantity"),
-        F.round("_av", 0).alias("avg_price"),
-        F.round(X.safe_divide("_av", "_aq"), 0).alias("price_per_unit"))
+        "league_name", "line_count", X.sql_round("_aq", 1).alias("avg_quantity"),
+        X.sql_round("_av", 0).alias("avg_price"),
+        X.sql_round(X.safe_divide("_av", "_aq"), 0).alias("price_per_unit"))
     return ranking.top_k(out, desc("price_per_unit") + asc("league_name"), 20)
 
 
@@ -626,9 +626,9 @@ def age_curve(spark, d):
     j = j.filter(F.col("p_size").between(16, 40))
     out = j.groupBy("p_size").agg(
         F.sum("_c").cast("long").alias("line_count"),
-        F.round(F.sum("_q") / F.sum("_c"), 1).alias("avg_quantity"),
-        F.round(F.sum("_dp") / F.sum("_c"), 1).alias("avg_discount_pct"),
-        F.round(F.sum("_v") / F.sum("_c"), 0).alias("avg_price"))
+        X.sql_round(F.sum("_q") / F.sum("_c"), 1).alias("avg_quantity"),
+        X.sql_round(F.sum("_dp") / F.sum("_c"), 1).alias("avg_discount_pct"),
+        X.sql_round(F.sum("_v") / F.sum("_c"), 0).alias("avg_price"))
     return out.orderBy("p_size")
 
 
@@ -708,8 +708,8 @@ def fulfillment_summary(spark, d):
     """Q41: average delivery days, days before estimate, late % over all delivered orders."""
     o = delivered_orders(_t(spark, d))
     return o.agg(
-        F.round(F.avg(X.day_diff("purchased", "delivered")), 2).alias("avg_delivery_days"),
-        F.round(F.avg(X.day_diff("delivered", "estimated")), 2).alias("avg_days_before_estimate"),
+        X.sql_round(F.avg(X.day_diff("purchased", "delivered")), 2).alias("avg_delivery_days"),
+        X.sql_round(F.avg(X.day_diff("delivered", "estimated")), 2).alias("avg_days_before_estimate"),
         X.rate_pct(F.col("delivered") > F.col("estimated"), 2).alias("late_pct"))
 
 
@@ -723,7 +723,7 @@ def regional_fulfillment(spark, d):
     j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
     return groups.group_profile(
         j, [F.col("n_name").alias("state")],
-        [F.round(F.avg(X.day_diff("purchased", "delivered")), 2).alias("avg_delivery_days"),
+        [X.sql_round(F.avg(X.day_diff("purchased", "delivered")), 2).alias("avg_delivery_days"),
          X.rate_pct(F.col("delivered") > F.col("estimated"), 2).alias("late_pct")],
         count_name="order_count", min_count=30, order=desc("late_pct") + asc("state"))
 
@@ -775,7 +775,7 @@ def top_ltv(spark, d):
     j = per_order.join(c, per_order.o_custkey == c.c_custkey).join(
         F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
     out = j.groupBy(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("customer_state")).agg(
-        F.count("o_orderkey").alias("order_count"), F.round(F.sum("_v"), 2).alias("lifetime_value"))
+        F.count("o_orderkey").alias("order_count"), X.sql_round(F.sum("_v"), 2).alias("lifetime_value"))
     return ranking.top_k(out, desc("lifetime_value") + asc("customer_id", "customer_state"), 20)
 
 
@@ -787,8 +787,8 @@ def type_breakdown(spark, d):
         F.sum("l_extendedprice").alias("_v"), F.sum("l_linenumber").alias("_ln"),
         F.count("l_linenumber").alias("_lnc"))
     out = per_order.groupBy("l_returnflag").agg(
-        F.count("l_orderkey").alias("order_count"), F.round(F.sum("_v"), 2).alias("total_revenue"),
-        F.round(F.sum("_ln") / F.sum("_lnc"), 2).alias("avg_linenumber"))
+        F.count("l_orderkey").alias("order_count"), X.sql_round(F.sum("_v"), 2).alias("total_revenue"),
+        X.sql_round(F.sum("_ln") / F.sum("_lnc"), 2).alias("avg_linenumber"))
     return out.orderBy(*desc("total_revenue"), *asc("l_returnflag"))
 
 
@@ -851,7 +851,7 @@ def value_counts(spark, d):
 def parse_share(spark, d):
     """G20: share of text values that parse as numbers."""
     pg = _t(spark, d).pages
-    return pg.agg(F.round(F.avg(_url_number(F.col("url")).isNotNull().cast("double")), 4)
+    return pg.agg(X.sql_round(F.avg(_url_number(F.col("url")).isNotNull().cast("double")), 4)
                   .alias("numeric_share"), F.count(F.lit(1)).alias("row_count"))
 
 

@@ -246,3 +246,18 @@ def test_kpi_summary_approximate_persons(spark):
     assert (exact.total_orders, exact.total_customers) == (1000, 400)
     assert approx.total_orders == 1000 and abs(approx.total_customers - 400) <= 16
     assert approx.total_revenue == exact.total_revenue == 3000.0
+
+
+def test_rounding_matches_the_sql_engine_bit_for_bit(spark):
+    """sql_round / half_even_round equal DuckDB round / round_even, ties and -0.0 included."""
+    import math
+    vals = [4201.315, 12.35, 2.675, -2.675, 0.125, -0.004, 1.005, 1234.5, -0.5, 25.45, 0.0625, 7.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for d in (0, 1, 2, 3):
+        got = [(r.a, r.b) for r in df.select(X.sql_round("v", d).alias("a"),
+                                             X.half_even_round("v", d).alias("b")).collect()]
+        want = duckdb.sql(f"select round(v, {d}), round_even(v, {d}) from (select unnest({vals}::double[]) as v)"
+                          ).fetchall()
+        for (a, b), (wa, wb) in zip(got, want):
+            assert (a, math.copysign(1, a)) == (wa, math.copysign(1, wa))
+            assert (b, math.copysign(1, b)) == (wb, math.copysign(1, wb))
