@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 # Rows of a narrow side (keys plus a few numbers) that may be broadcast.
 # Override per session with spark.conf.set("quarry.broadcastMaxRows", ...).
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Cache and count ``df``. Broadcast it only if it has at most ``max_rows`` rows.
+    """Materialize and count ``df``; broadcast it only if it has at most ``max_rows`` rows.
 
     Used for sides whose size depends on the data (one row per group, or per
     (partition, group)): usually tiny, but with millions of groups the join
     falls back to an ordinary shuffle join instead of shipping a large table
-    to every executor. The count is one small job over an already reduced
-    frame, and the cached result feeds the join without being recomputed.
+    to every executor. The side is written once with a reliable
+    ``checkpoint()`` (shared checkpoint folder), so the count and the join read
+    the same small result, a lost executor cannot change it, and no cache entry
+    lingers to slow the planning of later queries.
     """
+    spark = df.sparkSession
     if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get("quarry.broadcastMaxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
-    cached = df.cache()
-    return F.broadcast(cached) if cached.count() <= max_rows else cached
+        max_rows = int(spark.conf.get("quarry.broadcastMaxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
+    ensure_checkpoint_dir(spark)
+    small = df.checkpoint(eager=True)
+    return F.broadcast(small) if small.count() <= max_rows else small

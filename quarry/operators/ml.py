@@ -79,6 +79,9 @@ def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 4
     vec = _vectors(data, cols).cache()
     fits = _fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
     _, _, model, cost = min(fits, key=lambda f: (f[3], f[1]))
+    # the fits are done: release the cache (no entry lingers into later queries);
+    # the lazy assignment below recomputes the features in one pass if it is used
+    vec.unpersist()
     assigned = model.transform(vec).drop("features")
     return model, assigned, cost
 
