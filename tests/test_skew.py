@@ -60,3 +60,32 @@ def test_ntile_with_one_hot_value(spark):
     from pyspark.sql import Window
     want = df.withColumn("w", F.ntile(4).over(Window.orderBy(*order)))
     assert got.join(want, "id").filter(F.col("t") != F.col("w")).count() == 0
+
+
+def test_positions_and_outliers_without_broadcast(spark):
+    """Beyond the broadcast bound the same results come from shuffle joins."""
+    from pyspark.sql import Window
+    from quarry.operators import distribution
+    df = spark.range(0, 2000).select("id", (F.col("id") % 5).cast("string").alias("g"),
+                                     F.when(F.col("id") == 7, 10000.0).otherwise(F.col("id") % 50 + 1.0).alias("v"))
+    # over the bound the join is left to Spark's size-based choice; switch that off too
+    confs = {"quarry.broadcastMaxRows": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        pos = positions.with_positions(df, [F.col("v").asc(), F.col("id").asc()], by=["g"], num_partitions=6)
+        plan = pos._jdf.queryExecution().executedPlan().toString()
+        got = {r.id: r._pos for r in pos.collect()}
+        out = distribution.group_outliers(df, ["g"], "v", factor=10.0, min_count=20).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan  # the offsets are joined by a shuffle join, not broadcast
+    w = Window.partitionBy("g").orderBy("v", "id")
+    want = {r.id: r.p for r in df.select("id", F.row_number().over(w).alias("p")).collect()}
+    assert got == want
+    default = distribution.group_outliers(df, ["g"], "v", factor=10.0, min_count=20).collect()
+    assert [(r.id, r.median_value, r.x_median) for r in out] == \
+        [(r.id, r.median_value, r.x_median) for r in default] == [(7, 28.0, 357.1)]
