@@ -217,6 +217,10 @@ def test_etl_roundtrip_and_store(spark, data, tmp_path):
     assert audit["orders"] == 120 and audit["sellers"] == 1
     store = open_store(spark, dst, list(data["ecommerce"]))
     assert store["orders"].count() == 120
+    # the same named query over the persisted store and over the CSV sources
+    from_store = catalog.run_query(store, "ecommerce.kpi_summary").first()
+    from_csv = catalog.run_query(data["ecommerce"], "ecommerce.kpi_summary").first()
+    assert from_store == from_csv
     with pytest.raises(FileNotFoundError):
         open_store(spark, str(tmp_path / "missing"), ["orders"])
     assert os.path.exists(f"{dst}/orders.parquet")
