@@ -10,8 +10,9 @@ Scale notes that apply throughout:
   step before they are joined or exploded, so shuffles carry partial sums;
 * distinct counts are two-level aggregates, never Spark's Expand rewrite;
 * explicit broadcasts only for sides with a proven bound (fixed lookups,
-  one-row aggregates, per-partition tables); everything else is left to AQE,
-  which broadcasts from the measured size;
+  one-row aggregates, per-partition tables) or, for per-group sides, after a
+  row count (``operators.joins.broadcast_if_small``); everything else is left
+  to AQE, which broadcasts from the measured size;
 * global orderings (NTILE, percentiles) use range partitioning, not one task.
 """
 
