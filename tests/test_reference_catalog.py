@@ -198,6 +198,15 @@ def test_player_queries(data):
     assert top and all(r.value_eur is not None for r in top)
     with pytest.raises(ValueError):
         catalog.run_query(data["players"], "players.top_valuable_by_position", position=None)
+    summary = catalog.run_query(data["players"], "players.value_model_summary").first()
+    assert 0.0 <= summary.r2 <= 1.0
+    ext = catalog.run_query(data["players"], "players.value_model_residuals").collect()
+    under = [r.residual for r in ext if r.side == "under"]
+    over = [r.residual for r in ext if r.side == "over"]
+    assert len(under) == len(over) == 10 and max(under) <= min(over)
+    longform = catalog.run_query(data["players"], "players.attribute_correlations_long").collect()
+    assert {r.attribute for r in longform} == {"pace", "shooting", "passing", "dribbling", "defending",
+                                               "physic", "overall", "potential", "age"}
 
 
 def test_ecommerce_identity_and_fanout(data):
