@@ -57,9 +57,15 @@ def _typed(raw, dtype: str, null_words: Sequence[str]):
 
 def read_csv(spark: SparkSession, path: str, columns: Iterable[Col] | None = None, *,
              encoding: str = "UTF-8", null_words: Sequence[str] = ("",),
-             drop: Sequence[str] = (), multiline: bool = True) -> DataFrame:
-    """Read a header CSV (quotes ``"``, doubled quotes inside fields, embedded
-    newlines) and return the declared columns, typed and renamed.
+             drop: Sequence[str] = (), multiline: bool = False) -> DataFrame:
+    """Read a header CSV (quotes ``"``, doubled quotes inside fields) and return
+    the declared columns, typed and renamed.
+
+    ``multiline=True`` allows newlines inside quoted fields, but Spark then reads
+    each file in one task (it cannot split a file at an arbitrary newline). So
+    it is off by default and switched on only for sources that need it; large
+    inputs should come as many files, or be converted once to Parquet
+    (``etl.load_tables``).
 
     Without ``columns`` every column is kept (minus ``drop``) as text with a
     snake_case name. ``null_words`` become NULL before casting; numeric columns

@@ -69,12 +69,15 @@ ECOMMERCE = {
     "sellers": None,        # loaded whole, never queried
     "geolocation": None,
 }
+# tables whose free-text fields (review comments) hold quoted newlines
+ECOMMERCE_MULTILINE = {"order_reviews"}
 
 
 def load_restaurants(spark: SparkSession, restaurants_csv: str, country_codes_path: str) -> dict[str, DataFrame]:
     """Latin-1 restaurant CSV (pandas missing words) and the country lookup
     (CSV, or Parquet when the path ends in .parquet; Excel is not read)."""
-    r = read_csv(spark, restaurants_csv, RESTAURANTS, encoding=LEGACY_ENCODING, null_words=PANDAS_NA_WORDS)
+    r = read_csv(spark, restaurants_csv, RESTAURANTS, encoding=LEGACY_ENCODING, null_words=PANDAS_NA_WORDS,
+                 multiline=True)  # free-text names may hold quoted newlines
     if country_codes_path.endswith(".parquet"):
         cc = spark.read.parquet(country_codes_path)
     else:
@@ -83,7 +86,8 @@ def load_restaurants(spark: SparkSession, restaurants_csv: str, country_codes_pa
 
 
 def load_products(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {"products": read_csv(spark, path, PRODUCTS)}
+    # product descriptions (not loaded, but parsed) span lines inside quotes
+    return {"products": read_csv(spark, path, PRODUCTS, multiline=True)}
 
 
 def load_supply_chain(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -102,5 +106,6 @@ def load_ecommerce(spark: SparkSession, folder: str,
     files = files or {}
     out = {}
     for name, cols in ECOMMERCE.items():
-        out[name] = read_csv(spark, os.path.join(folder, files.get(name, f"{name}.csv")), cols)
+        out[name] = read_csv(spark, os.path.join(folder, files.get(name, f"{name}.csv")), cols,
+                             multiline=name in ECOMMERCE_MULTILINE)
     return out

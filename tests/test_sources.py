@@ -19,7 +19,8 @@ def csv_path(tmp_path):
 def test_typed_columns_and_guards(spark, csv_path):
     cols = [Col("id", "id", "long"), Col("Price (EUR)", "price", "double"), Col("Note", "note"),
             Col("When", "ts", "timestamp_ntz")]
-    rows = read_csv(spark, csv_path, cols, encoding="ISO-8859-1", null_words=PANDAS_NA_WORDS).orderBy("id").collect()
+    rows = read_csv(spark, csv_path, cols, encoding="ISO-8859-1", null_words=PANDAS_NA_WORDS,
+                    multiline=True).orderBy("id").collect()
     assert [r.price for r in rows] == [4.5, None, None, 7.0]          # '4d' and 'nan' are not numbers
     assert [r.note for r in rows] == ["café", None, "multi\nline, quoted", None]
     assert rows[0].ts.year == 2020 and rows[1].ts is None and rows[3].ts is None
@@ -27,11 +28,22 @@ def test_typed_columns_and_guards(spark, csv_path):
 
 def test_default_null_words_keep_na_text(spark, csv_path):
     rows = read_csv(spark, csv_path, [Col("id", "id", "int"), Col("Note", "note")],
-                    encoding="ISO-8859-1").orderBy("id").collect()
+                    encoding="ISO-8859-1", multiline=True).orderBy("id").collect()
     assert rows[1].note == "NA" and rows[3].note == "N/A"
 
 
 def test_all_columns_snake_case_and_drop(spark, csv_path):
-    df = read_csv(spark, csv_path, encoding="ISO-8859-1", drop=["Note"])
+    df = read_csv(spark, csv_path, encoding="ISO-8859-1", drop=["Note"], multiline=True)
     assert df.columns == ["id", "price_eur", "when"]
     assert snake_case("Days for shipping (real)") == "days_for_shipping_real"
+
+
+def test_single_line_reads_are_splittable(spark, tmp_path):
+    p = tmp_path / "big.csv"
+    p.write_text("a,b\n" + "".join(f"{i},{i * 2}\n" for i in range(200000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "262144")
+    try:
+        df = read_csv(spark, str(p), [Col("a", "a", "long"), Col("b", "b", "long")])
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 200000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
