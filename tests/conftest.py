@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,7 +13,6 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    ckpt = tempfile.mkdtemp(prefix="quarry-test-ckpt-", dir="/tmp")
     s = (SparkSession.builder.master("local[4]").appName("quarry-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
@@ -22,8 +20,11 @@ def spark():
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    # the session's spark.checkpoint.dir is used when configured; a scratch
+    # folder is created only when it is unset (local mode)
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(s)
     yield s
     s.stop()
