@@ -261,3 +261,14 @@ def test_rounding_matches_the_sql_engine_bit_for_bit(spark):
         for (a, b), (wa, wb) in zip(got, want):
             assert (a, math.copysign(1, a)) == (wa, math.copysign(1, wa))
             assert (b, math.copysign(1, b)) == (wb, math.copysign(1, wb))
+
+
+def test_positional_operators_on_empty_input(spark):
+    from quarry.operators import distribution, rfm
+    empty = spark.range(0, 10).filter(F.col("id") < 0).select("id", (F.col("id") % 2).cast("string").alias("g"),
+                                                               F.col("id").cast("double").alias("v"))
+    assert positions.ntile_global(empty, 4, [F.col("v").asc(), F.col("id").asc()], "t").count() == 0
+    assert positions.group_quantiles(empty, ["g"], "v", {"m": 0.5}).count() == 0
+    assert distribution.group_outliers(empty, ["g"], "v").count() == 0
+    orders = empty.select(F.col("id").alias("c"), F.current_date().alias("d"), F.col("v").alias("amt"))
+    assert rfm.customer_rfm(orders, "c", "d", "amt").count() == 0
