@@ -32,9 +32,15 @@ _LOCAL_BITS = 33
 
 
 def _num_partitions(df: DataFrame, requested: int | None) -> int:
+    """Range partitions: as requested, else the session's shuffle partitions (or
+    the default parallelism where that setting is not a number, e.g. "auto")."""
     if requested:
         return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return int(value)
+    except ValueError:
+        return int(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def with_positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
