@@ -274,6 +274,7 @@ def _explorer_orders(spark, d, priority=None, min_price=None):
 
 query("explorer_orders")(_explorer_orders)
 query("explorer_orders_set", priority="1-URGENT", min_price=400000.0)(_explorer_orders)
+query("explorer_orders_priority_only", priority="3-MEDIUM")(_explorer_orders)
 
 
 # --------------------------------------------------------------------------- pricing (Q13-Q21)
@@ -661,6 +662,7 @@ def _explorer_parts(spark, d, p_type=None, min_size=None, max_price=None):
 
 query("explorer_parts")(_explorer_parts)
 query("explorer_parts_set", p_type="STANDARD", min_size=30, max_price=950.0)(_explorer_parts)
+query("explorer_parts_size_only", min_size=45)(_explorer_parts)
 
 
 # --------------------------------------------------------------------------- e-commerce (Q38-Q48)
