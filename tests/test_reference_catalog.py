@@ -179,6 +179,10 @@ def test_explode_and_optional_parameters(data):
 def test_dirty_rating_and_outliers(data):
     c = catalog.run_query(data["pricing"], "pricing.discount_vs_rating_correlation").first()
     assert c.rated_product_count == 2 * 180 // 4 - sum(1 for i in range(180) if i % 17 == 0 and i % 4 in (1, 2)) + 1
+    exact = {r.category: r for r in catalog.run_query(data["pricing"], "pricing.category_price_percentiles").collect()}
+    approx = {r.category: r for r in catalog.run_query(data["pricing"], "pricing.category_price_percentiles",
+                                                       exact=False).collect()}
+    assert exact.keys() == approx.keys() and all(exact[k].product_count == approx[k].product_count for k in exact)
     out = catalog.run_query(data["pricing"], "pricing.price_outliers").collect()
     assert [r.product_name for r in out] == ["Outlier"]
 
