@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import ensure_checkpoint_dir
 
-GROUP_BYTES = 4 << 20  # text handled at a time inside a task
+GROUP_BYTES = 1 << 19  # text handled at a time inside a task
 _M64 = (1 << 64) - 1
 
 
@@ -58,6 +59,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs run inside hand at most ``rows`` rows to a Python worker at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its offsets; a null counts as empty."""
     if col.null_count:

@@ -8,28 +8,36 @@ from pyspark.sql import functions as F
 from quarry.llm._common import materialize
 
 
+LINKS_PER_TASK = 200_000
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node each node of ``links`` reaches.
 
     Every round takes the smallest label among the neighbours (a grouped min with map-side
     combine, so a hub costs one row per task) and then follows the label's own label (pointer
     jumping), which halves the remaining distance. Labels are written to the shared folder after
-    every round; only a count of changed labels reaches the driver. Raises if ``max_rounds`` is
+    every round, in partitions by the number of links; only a count of changed labels reaches the driver. Raises if ``max_rounds`` is
     not enough.
     """
     both = links.select(F.col(a).alias("src"), F.col(b).alias("dst"))
     both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = materialize(both.filter("src <> dst").distinct(), "links")
-    labels = materialize(
+    parts = both.count() // LINKS_PER_TASK + 1   # a small graph needs no shuffle
+
+    def kept(df: DataFrame) -> DataFrame:
+        return materialize(df, "labels").coalesce(parts)
+    both = both.coalesce(parts)
+    labels = kept(
         both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("m"))
-            .select("node", F.least("node", "m").alias("component")), "labels")
+            .select("node", F.least("node", "m").alias("component")))
     for _ in range(max_rounds):
         near = (both.join(labels, both["src"] == labels["node"]).groupBy("dst").agg(F.min("component").alias("m")))
         step = (labels.join(near, labels["node"] == near["dst"], "left")
                 .select("node", F.col("component").alias("old"), F.least("component", F.coalesce("m", "component")).alias("component")))
         jump = labels.select(F.col("node").alias("via"), F.col("component").alias("far"))
-        new = materialize(step.join(jump, step["component"] == jump["via"], "left")
-                          .select("node", "old", F.least("component", F.coalesce("far", "component")).alias("component")), "labels")
+        new = kept(step.join(jump, step["component"] == jump["via"], "left")
+                          .select("node", "old", F.least("component", F.coalesce("far", "component")).alias("component")))
         labels = new.select("node", "component")
         if not new.filter("component <> old").limit(1).count():
             return labels

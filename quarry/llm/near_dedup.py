@@ -16,13 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm._common import materialize, mix64, row_groups, text_buffer, word_hashes
+from quarry.llm._common import arrow_rows, materialize, mix64, row_groups, text_buffer, word_hashes
 from quarry.llm._graph import connected_components
 
-BANDS, ROWS = 40, 6      # a pair of similarity 0.8 is missed with probability 6e-6
+BANDS, ROWS = 30, 5      # a pair of similarity 0.8 is missed with probability 7e-6
 BATCH = 30               # sketch bytes compared at a time
 MISS = 1e-6              # chosen miss probability of the Bayesian pruning
 CHUNK = 512              # members of a bucket compared block against block
+FILTER_BITS = 25         # a bit map of 4 MB says which documents' sets may be asked for
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -105,9 +106,15 @@ def _features(words: int, bands: int, rows: int):
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, asked):
+    """Shingle sets of the documents that the bit map lets through."""
     def run(batches):
+        bits = asked.value
         for batch in batches:
+            ids = batch.column(0).to_numpy()
+            slot = _slot(ids)
+            keep = pa.array((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1)
+            batch = batch.filter(keep)
             data, offsets = text_buffer(batch.column(1))
             for lo, hi in row_groups(offsets):
                 o = offsets[lo: hi + 1]
@@ -118,6 +125,25 @@ def _sets(words: int):
     return run
 
 
+def _slot(ids: np.ndarray) -> np.ndarray:
+    return mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _asked_map(ids: DataFrame) -> np.ndarray:
+    """Bit map of some ids. Tasks hash them, a grouped bit_or adds them up, and the driver gets at
+    most 2^(FILTER_BITS - 6) words however many ids there are; more ids only let more through."""
+    def run(batches):
+        for batch in batches:
+            slot = _slot(batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (slot & np.uint64(63))).view(np.int64))],
+                names=["word", "bits"])
+    words = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    rows = ids.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return words
+
+
 def least_matches(n_hashes: int, threshold: float, miss: float, batch: int = BATCH) -> list[tuple[int, int]]:
     """(compared, least matches) after each batch: with fewer matches the posterior probability
     of a similarity of ``threshold`` or more is below ``miss``. Prior: uniform; two unlike values
@@ -137,8 +163,8 @@ def least_matches(n_hashes: int, threshold: float, miss: float, batch: int = BAT
     return out
 
 
-def _alike(x: np.ndarray, y: np.ndarray, least: list[tuple[int, int]]) -> np.ndarray:
-    """Rows of the sketches x and y (y may be one row) that no batch rules out."""
+def _alike(x: np.ndarray, y: np.ndarray, least: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the sketches x and y (y may be one row) that no batch rules out, and their matches."""
     alive, matches, done = np.arange(len(x)), np.zeros(len(x), np.int32), 0
     for n, m in least:
         right = y[:, done:n] if len(y) == 1 else y[alive, done:n]
@@ -147,7 +173,7 @@ def _alike(x: np.ndarray, y: np.ndarray, least: list[tuple[int, int]]) -> np.nda
         alive, matches, done = alive[keep], matches[keep], n
         if not len(alive):
             break
-    return alive
+    return alive, matches
 
 
 def _prune_pairs(least: list[tuple[int, int]], width: int):
@@ -156,39 +182,71 @@ def _prune_pairs(least: list[tuple[int, int]], width: int):
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, width) for k in (2, 3))
-            keep = pa.array(_alike(x, y, least))
+            keep = pa.array(_alike(x, y, least)[0])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
     return run
 
 
-def _prune_block(least: list[tuple[int, int]], width: int, num: int, den: int):
-    """Pairs of a block of a bucket whose members are of different components so far."""
+def _likeliest(least: list[tuple[int, int]], width: int, num: int, den: int, each: bool):
+    """For every outsider of a bucket the likeliest partner outside its component, or with ``each``
+    the likeliest in every other component, as far as the sketches don't rule all of them out."""
     def run(block: pa.Table) -> pa.Table:
-        doc, comp, n, chunk = (block.column(c).to_numpy() for c in ("doc_id", "component", "n", "chunk"))
-        ci, cj = block.column("ci")[0].as_py(), block.column("cj")[0].as_py()
+        doc, comp, n, major = (block.column(c).to_numpy() for c in ("doc_id", "component", "n", "major"))
+        asks = block.column("asks").to_numpy(zero_copy_only=False)
         sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
-        left, right = np.flatnonzero(chunk == ci), np.flatnonzero(chunk == cj)
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
         found_a, found_b = [], []
-        for i, x in enumerate(left):
-            y = right[i + 1:] if ci == cj else right
-            y = y[(comp[y] != comp[x]) & (np.minimum(n[y], n[x]) * den >= np.maximum(n[y], n[x]) * num)]
+        for x in left:
+            # of two outsiders the smaller one asks
+            y = right[(comp[right] != comp[x]) & ((comp[right] == major[right]) | (doc[right] > doc[x]))
+                      & (np.minimum(n[right], n[x]) * den >= np.maximum(n[right], n[x]) * num)]
             if len(y):
-                y = y[_alike(sketch[y], sketch[x: x + 1], least)]
-                found_a.append(np.minimum(doc[x], doc[y]))
-                found_b.append(np.maximum(doc[x], doc[y]))
+                alive, matches = _alike(sketch[y], sketch[x: x + 1], least)
+                y = y[alive]
+                order = np.lexsort((doc[y], -matches, comp[y])) if each else np.lexsort((doc[y], -matches))
+                _, first = np.unique(comp[y][order], return_index=True)
+                y = y[order[first]] if each else y[order[:1]]
+                found_a.append(np.full(len(y), doc[x]))
+                found_b.append(doc[y])
         cat = lambda p: pa.array(np.concatenate(p) if p else np.empty(0, np.int64), pa.int64())
         return pa.table({"a": cat(found_a), "b": cat(found_b)})
     return run
 
 
+def _shared_count(x: np.ndarray, y: np.ndarray) -> int:
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum())
+
+
+def _first_links(least: list[tuple[int, int]], width: int, num: int, den: int):
+    """For every asking document one link, if there is one, to the members of a component."""
+    def run(block: pa.Table) -> pa.Table:
+        doc, n = (block.column(c).to_numpy() for c in ("doc_id", "n"))
+        asks = block.column("asks").to_numpy(zero_copy_only=False)
+        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
+        sets = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        found = []
+        for x in left:
+            y = right[np.minimum(n[right], n[x]) * den >= np.maximum(n[right], n[x]) * num]
+            if len(y):
+                alive, matches = _alike(sketch[y], sketch[x: x + 1], least)
+                for k in y[alive[np.argsort(-matches, kind="stable")]]:
+                    both = _shared_count(sets[x], sets[k])
+                    if both * den >= num * (len(sets[x]) + len(sets[k]) - both):
+                        found.append((doc[x], doc[k]))
+                        break
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+    return run
+
+
 def _confirm(num: int, den: int):
     def run(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
+                both = _shared_count(x, y)
                 keep.append(both * den >= num * (len(x) + len(y) - both))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
@@ -207,70 +265,115 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are one class whatever their number. An empty table gives an empty result. Other columns of
     ``docs`` play no part.
 
-    Scale: copies collapse by a set fingerprint with map-side combine. In a band's bucket every
-    member is first compared with the smallest one only; members that this leaves in different
-    components are then compared block against block inside tasks, so no bucket is emitted as all
-    its pairs, none is capped, and its size sets neither a task's memory nor the row count.
+    Scale: copies collapse by a set fingerprint with map-side combine, so a bucket holds different
+    texts only. Candidates are tried in rounds, each followed by connected components: every text
+    with one bucket mate; in buckets that still hold several components, one text of each with the
+    bucket's smallest; texts outside a bucket's largest component with their likeliest partner in
+    other components; and at last such texts with all members of the components that hold a likely
+    partner, whose sets are compared in the task. Pairs inside a component need no test. Blocks of
+    bounded size meet inside tasks, so no bucket is emitted as all its pairs and none is capped.
+    The heavy joins are merge joins at every size, which adaptive execution splits where a key is hot.
     """
     level = Fraction(str(threshold))
     num, den = level.numerator, level.denominator
     width = bands * rows
     least = least_matches(width, float(threshold), miss)
+    spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     feat = materialize(src.mapInArrow(_features(shingle_words, bands, rows), FEATURES), "minhash")
-
     some = feat.filter("n > 0 and doc_id is not null")
-    copies = (some.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"))
-              .filter("rep <> top").drop("top"))
-    member = materialize(some.select("doc_id", "fp1", "fp2", "n").join(copies, ["fp1", "fp2", "n"])
-                         .filter("doc_id <> rep").select("doc_id", "rep").distinct(), "members")
-    reps = some.join(member.select("doc_id"), "doc_id", "left_anti")
-
-    rows_of = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = (rows_of.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("top"), F.count("*").alias("size"))
-              .filter("center <> top").drop("top"))
-    bucket = materialize(rows_of.join(shared, "key"), "buckets")
-
-    sketch = reps.select("doc_id", "n", "sketch")
-    pairs = bucket.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    left = sketch.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = sketch.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    sized = (pairs.join(left, "a").join(right, "b")
-             .filter(F.least("na", "nb") * F.lit(den) >= F.greatest("na", "nb") * F.lit(num)).select("a", "b", "sa", "sb"))
-
-    def confirmed(candidates: DataFrame, label: str) -> DataFrame:
-        candidates = materialize(candidates, f"candidates-{label}")
-        wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
-        sets = (src.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                .mapInArrow(_sets(shingle_words), "doc_id long, shingles binary"))
-        sets = materialize(sets, f"sets-{label}")
-        return materialize(
-            candidates.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(_confirm(num, den), "a long, b long"), f"links-{label}")
-
-    links = confirmed(sized.mapInArrow(_prune_pairs(least, width), "a long, b long"), "star")
+
+    band = some.select("fp1", F.explode("bands").alias("key"))
+    shared = band.groupBy("key").agg(F.min("fp1").alias("lo"), F.max("fp1").alias("hi")).filter("lo <> hi").select("key", "lo")
+    bucket = materialize(band.join(shared.hint("merge"), "key").distinct(), "buckets")
+    mates = bucket.select("fp1").distinct()
+    node = materialize(some.select("fp1", "doc_id", "n", "sketch").join(mates.hint("merge"), "fp1", "left_semi")
+                       .groupBy("fp1").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("x")).select("fp1", "x.*"), "texts")
+    asked = spark.sparkContext.broadcast(_asked_map(node.select("doc_id")))
+    named = src.filter("doc_id is not null").mapInArrow(_sets(shingle_words, asked), "doc_id long, shingles binary")
+    sets = materialize(named, "sets")
+
+    def linked(candidates: DataFrame, label: str) -> DataFrame:
+        """Candidate pairs (a, b) of ids that reach the threshold on their full sets."""
+        def side(x: str, to: str) -> DataFrame:
+            return sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(to)).hint("merge")
+        both = candidates.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+        with arrow_rows(spark, 500):
+            return materialize(both.mapInArrow(_confirm(num, den), "a long, b long").distinct(), f"links-{label}")
+
+    def alike(pairs: DataFrame, label: str) -> DataFrame:
+        """Pairs (a, b) of fingerprints that the sketches don't rule out, as pairs of ids."""
+        def side(x: str, i: str, n: str, s: str) -> DataFrame:
+            return node.select(F.col("fp1").alias(x), F.col("doc_id").alias(i), F.col("n").alias(n), F.col("sketch").alias(s)).hint("merge")
+        sized = (pairs.join(side("a", "ia", "na", "sa"), "a").join(side("b", "ib", "nb", "sb"), "b")
+                 .filter(F.least("na", "nb") * F.lit(den) >= F.greatest("na", "nb") * F.lit(num)).select("ia", "ib", "sa", "sb"))
+        return materialize(sized.mapInArrow(_prune_pairs(least, width), "a long, b long"), f"alike-{label}")
+
+    def placed(labels: DataFrame) -> DataFrame:
+        """Bucket members with their ids and components so far."""
+        ids = node.select("fp1", "doc_id", "n")
+        return (bucket.join(ids, "fp1").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                .select("key", "fp1", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
+
+    first = bucket.filter("fp1 <> lo").groupBy("fp1").agg(F.min("lo").alias("a")).select("a", F.col("fp1").alias("b"))
+    links = linked(alike(first, "first"), "first")
     labels = connected_components(links)
 
-    # buckets that still hold several components: compare their members across components
-    big = bucket.filter("size > 2").select("key", "doc_id")
-    big = (big.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-           .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = (big.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-             .filter("lo <> hi").select("key", F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks")))
-    blocks = (big.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-              .join(sketch, "doc_id")
-              .select("key", F.least("chunk", "other").alias("ci"), F.greatest("chunk", "other").alias("cj"),
-                      "doc_id", "component", "n", "chunk", "sketch"))
-    more = (blocks.groupBy("key", "ci", "cj").applyInArrow(_prune_block(least, width, num, den), "a long, b long").distinct())
-    late = confirmed(more, "across")
-    if late.limit(1).count():
-        labels = connected_components(links.unionByName(late))
-
-    comp = (feat.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(member.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left")
-            .withColumn("node", F.coalesce("rep", "doc_id")))
-    return (comp.join(labels, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    members = placed(labels)
+    heads = members.groupBy("key", "component").agg(F.min(F.struct("doc_id", "fp1")).alias("head"))
+    top = heads.groupBy("key").agg(F.min(F.struct("head", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    second = (heads.join(top, "key").filter(F.col("component") != F.col("top.component"))
+              .select(F.col("top.head.fp1").alias("a"), F.col("head.fp1").alias("b")).distinct())
+    more = linked(alike(second, "heads"), "heads")
+    if more.limit(1).count():
+        links = links.unionByName(more)
+        labels = connected_components(links)
+
+    def dealt(df: DataFrame, asks: bool, mine: str, other: str, *cols: str) -> DataFrame:
+        """Own chunk by id, and a copy for every chunk of the other side."""
+        return df.select(*cols, F.lit(asks).alias("asks"), F.pmod(F.xxhash64("doc_id"), F.col(mine)).alias(mine[0]),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[0]))
+
+    def chunks(size):
+        return F.ceil(size / CHUNK).cast("long")
+
+    def likeliest(members: DataFrame, each: bool) -> DataFrame:
+        """(a, b): texts outside their bucket's largest component and their likeliest partners."""
+        parts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+        mixed = (parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("big"), F.sum("size").alias("total"), F.count("*").alias("parts"))
+                 .filter("parts > 1 and total > 2")
+                 .select("key", F.col("big.component").alias("major"), chunks(F.col("total")).alias("all"),
+                         chunks(F.col("total") - F.col("big.size")).alias("out")))
+        rest = members.join(mixed, "key").join(node.select("fp1", "sketch"), "fp1")
+        cols = ("key", "major", "doc_id", "component", "n", "sketch")
+        blocks = dealt(rest, False, "all", "out", *cols).unionByName(dealt(rest.filter("component <> major"), True, "out", "all", *cols))
+        return materialize(blocks.groupBy("key", "a", "o").applyInArrow(_likeliest(least, width, num, den, each), "a long, b long").distinct(), "likeliest")
+
+    third = linked(likeliest(materialize(placed(labels), "members"), False), "likeliest")
+    if third.limit(1).count():
+        links = links.unionByName(third)
+        labels = connected_components(links)
+
+    # what is left: a text against all members of a component that holds a likely partner of it
+    members = materialize(placed(labels), "members")
+    text = materialize(members.select("doc_id", "n", "fp1", "component").distinct(), "placed")
+    asking = (likeliest(members, True).join(text.select(F.col("doc_id").alias("b"), "component"), "b")
+              .select(F.col("a").alias("doc_id"), "component").distinct())
+    sizes = text.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1")   # pairs of single texts are settled
+    sides = (asking.groupBy("component").agg(F.count("*").alias("askers")).join(sizes, "component")
+             .select("component", chunks(F.col("size")).alias("all"), chunks(F.col("askers")).alias("out")))
+    known = node.select("fp1", "sketch")
+    cols = ("component", "doc_id", "n", "sketch", "shingles")
+    askers = asking.join(sides, "component").join(text.select("doc_id", "n", "fp1"), "doc_id").join(known, "fp1").join(sets, "doc_id")
+    asked_of = text.join(sides, "component").join(known, "fp1").join(sets, "doc_id")
+    blocks = dealt(asked_of, False, "all", "out", *cols).unionByName(dealt(askers, True, "out", "all", *cols))
+    last = materialize(blocks.groupBy("component", "a", "o").applyInArrow(_first_links(least, width, num, den), "a long, b long").distinct(), "last")
+    if last.limit(1).count():
+        labels = connected_components(links.unionByName(last))
+
+    copies = (some.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+              .filter("rep <> last").drop("last"))
+    out = (feat.select("doc_id", "n", "fp1", "fp2").join(copies, ["fp1", "fp2", "n"], "left")
+           .withColumn("node", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))).join(labels, "node", "left"))
+    return (out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

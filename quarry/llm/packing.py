@@ -8,13 +8,13 @@ window; its best unused neighbours follow until the window is full, the last one
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,10 +27,25 @@ WINDOW = 4096
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 END_ID = 2
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 800_000, 48
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
+class _Memo(dict):
+    """Remembers the results of a function for short strings, a bounded number of them."""
+
+    def __init__(self, of):
+        self.of = of
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.of(key)
+        if len(key) <= MEMO_CHARS:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[key] = out
+        return out
+
+
 class WordBpe:
     """A BPE vocabulary with word ends, lower case, and white space dropped (tokenizers JSON).
 
@@ -39,9 +54,14 @@ class WordBpe:
     rank; any other one is left to the library.
     """
 
-    PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    #: Composed characters without white space, combining marks or lower-case forms that depend on context.
-    PLAIN = regex.compile("[!-~¡-įı-ɏ]*")
+    #: The vocabulary's own pattern, as it reads for the characters of PLAIN.
+    PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+    #: Composed characters without white space, combining marks, fractions and raised digits, or
+    #: lower-case forms that depend on context.
+    PLAIN = re.compile("[!-~¡-±´-¸º»¿-įı-ɏ]*")
+
+    #: A lone comma or stop after a letter.
+    STOP = re.compile(r"(?<=[a-zà-öø-ÿ])([,.])(?=[ \n])")
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -77,33 +97,31 @@ class WordBpe:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             rank(left + right)
         self.merge = tiktoken.Encoding("word-bpe", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        self.memo: dict[str, bytes] = {}
+        self.id_bytes = [np.array([i], self.dtype).tobytes() for i in self.id_of_rank]
+        self.memo, self.pieces = _Memo(self._encode_word), _Memo(self._encode_piece)
+
+    def _encode_piece(self, piece: str) -> bytes:
+        raw = piece.encode()
+        coded = bytearray(2 * len(raw))
+        coded[1::2] = raw
+        coded[-2] = 1
+        return b"".join([self.id_bytes[r] for r in self.merge(bytes(coded))])
 
     def _encode_word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word) and not any(s in word for s in self.special):
-            ids = []
-            for piece in self.PATTERN.findall(word.lower()):
-                raw = piece.encode()
-                coded = bytearray(2 * len(raw))
-                coded[1::2] = raw
-                coded[-2] = 1
-                ids += [self.id_of_rank[r] for r in self.merge(bytes(coded))]
-        else:
-            ids = self.library.encode(word, add_special_tokens=False).ids
-        out = np.array(ids, self.dtype).tobytes()
-        if len(word) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[word] = out
-        return out
+        if self.PLAIN.fullmatch(word) and not ("<|" in word and any(s in word for s in self.special)):
+            low = word.lower()
+            return self.pieces[low] if low.isalpha() else b"".join(map(self.pieces.__getitem__, self.PATTERN.findall(low)))
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+                text = self.STOP.sub(r" \1", text.lower())  # the library lower-cases too; a sign after a letter is a piece
+            except UnicodeEncodeError:
+                pass
         words = text.replace("\n", " ").split(" ")
-        get = self.memo.get
-        ids = [get(w) for w in words]
-        if None in ids:
-            ids = [self._encode_word(w) if x is None else x for w, x in zip(words, ids)]
-        return b"".join(ids)
+        return b"".join(map(self.memo.__getitem__, words))
 
 
 @lru_cache(2)

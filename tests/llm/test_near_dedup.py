@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 
+from quarry.llm import near_dedup
 from quarry.llm.near_dedup import least_matches, near_duplicates
 from quarry.llm.queries import op3_minhash_dedup
 from tests.llm.data import AWKWARD, SF01, awkward, clashing, table
@@ -68,12 +69,31 @@ def test_chain_and_large_group(spark):
         rows.append((i, " ".join(passage + [word() for _ in range(rng.randint(2, 60))])))
     for i in range(300, 420):
         rows.append((i, " ".join(passage)))
-    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2)) == brute(rows, 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicates(df, shingle_words=2)) == brute(rows, 2)
+
+
+def test_blocks_of_a_bucket(spark):
+    """Groups that the first rounds leave apart meet block against block, whatever the block size."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    rows, core = [], [word() for _ in range(70)]
+    for i in range(60):
+        text = list(core)
+        for _ in range(rng.randint(2, 6)):
+            text[rng.randrange(70)] = word()
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 2)
+    assert 1 < len({r[2] for r in want}) < 60
+    for near_dedup.CHUNK in (3, 16):
+        assert got(near_duplicates(df, shingle_words=2)) == want
+    near_dedup.CHUNK = 512
 
 
 def test_pruning_keeps_similar_pairs():
     rng = np.random.default_rng(1)
-    least = least_matches(240, 0.8, 1e-6)
+    least = least_matches(150, 0.8, 1e-6)
     n = 200_000
     same = rng.random((n, 1)) < 2  # all pairs at similarity 0.8
     matches = np.zeros(n, int)
