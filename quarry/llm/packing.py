@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from quarry.llm._common import materialize, row_groups, text_buffer
 
 WINDOW = 4096
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
 END_ID = 2
 MEMO_ENTRIES, MEMO_CHARS = 800_000, 48
@@ -192,9 +192,9 @@ class Bm25Shard:
             t, tf = np.unique(item.ids, return_counts=True)
             self.query.append(t)
             terms.append(t)
-            docs.append(np.full(len(t), d, np.int32))
+            docs.append(np.full(len(t), d))
             norm = K1 * (1 - B + B * len(item.ids) / mean_length)
-            weights.append((idf[t] * tf * (K1 + 1) / (tf + norm)).astype(np.float32))
+            weights.append((idf[t] * tf * (K1 + 1) / (tf + norm)))
         term = np.concatenate(terms)
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
