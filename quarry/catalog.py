@@ -18,7 +18,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.plans import ecommerce, players, pricing, restaurants, supply_chain
-from quarry.plans import testdata
 
 PROJECTS = {
     "restaurants": restaurants.QUERIES,
@@ -52,12 +51,3 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Register each table as a temp view of the same name (ad-hoc ``spark.sql``)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-
-
-def run_test_query(spark: SparkSession, folder: str, name: str, **params) -> DataFrame:
-    """Run a test-table catalogue query (``quarry.plans.testdata``) by name."""
-    try:
-        fn = testdata.QUERIES[name]
-    except KeyError:
-        raise KeyError(f"unknown test-table query {name!r}; known: {', '.join(testdata.QUERIES)}") from None
-    return fn(spark, folder, **params)

@@ -125,8 +125,3 @@ def safe_corr(x, y) -> Column:
     both = col(x).isNotNull() & col(y).isNotNull()
     xx, yy = F.when(both, col(x)), F.when(both, col(y))
     return F.covar_pop(xx, yy) / F.nullif(F.stddev_pop(xx) * F.stddev_pop(yy), F.lit(0.0))
-
-
-def money_sum(value, digits: int = 2) -> Column:
-    """Money total rounded to cents."""
-    return sql_round(F.sum(col(value)), digits)

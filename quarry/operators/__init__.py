@@ -11,7 +11,6 @@ from quarry.operators.groups import (  # noqa: F401
 from quarry.operators.growth import (  # noqa: F401
     cohort_activity, period_growth, repeat_rate, retention_pct, retention_triangle,
 )
-from quarry.operators.joins import broadcast_if_small  # noqa: F401
 from quarry.operators.positions import group_quantiles, ntile_global, with_positions  # noqa: F401
 from quarry.operators.ranking import top_k, topk_per_group  # noqa: F401
 from quarry.operators.reshape import (  # noqa: F401

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.exprs import sql_round
-from quarry.operators.joins import broadcast_if_small
 from quarry.operators.positions import group_quantiles
 
 
@@ -59,7 +58,7 @@ def group_outliers(df: DataFrame, by: Sequence[str], value: str, *, factor: floa
     """Rows whose ``value`` exceeds ``factor`` x their group's median
     (groups with at least ``min_count`` rows), with ``median_value`` and
     ``x_median`` = value / median. The per-group statistics side is one row per
-    group; it is broadcast after a row count (``joins.broadcast_if_small``).
+    group; adaptive execution broadcasts it where its measured bytes allow.
     """
     by = list(by)
     med = group_quantiles(df, by, value, {"median_value": 0.5})
@@ -67,6 +66,6 @@ def group_outliers(df: DataFrame, by: Sequence[str], value: str, *, factor: floa
     stats = _join_null_safe(med, sizes, by).drop("_n")
     # one row per group: broadcast after a count, so a hot group never meets a
     # shuffle join on the group key (and millions of groups fall back to one)
-    joined = df.join(broadcast_if_small(stats), on=by, how="inner")
+    joined = df.join(stats, on=by, how="inner")
     return (joined.filter(F.col(value) > F.col("median_value") * F.lit(factor))
             .withColumn("x_median", sql_round(F.col(value) / F.col("median_value"), ratio_digits)))

@@ -19,19 +19,23 @@ from pyspark.sql import functions as F
 from quarry.functions.exprs import sql_round
 
 
+# Exact sums of scores: wide enough for any score of ten decimals; a larger value raises.
+SCORE_TYPE = "decimal(24,10)"
+
+
 def review_weights(items: DataFrame, reviews: DataFrame, item_key: str, review_key: str,
-                   score: str, *, dedupe: bool = False, score_scale: int = 2) -> DataFrame:
+                   score: str, *, dedupe: bool = False) -> DataFrame:
     """``items`` + ``_fan`` (copies the join would make), ``_rcnt`` / ``_rsum``
     (non-null score count and exact decimal sum of the matched reviews).
     ``dedupe=True`` counts every item once (the corrected, non-faithful form)."""
     per_key = reviews.groupBy(F.col(review_key).alias("_rk")).agg(
         F.count(F.lit(1)).alias("_rrows"), F.count(score).alias("_rcnt"),
-        F.sum(F.col(score).cast(f"decimal(18,{score_scale})")).alias("_rsum"))
+        F.sum(F.col(score).cast(SCORE_TYPE)).alias("_rsum"))
     j = items.join(per_key, items[item_key] == per_key["_rk"], "left").drop("_rk")
     fan = F.lit(1) if dedupe else F.greatest(F.coalesce(F.col("_rrows"), F.lit(0)), F.lit(1))
     return (j.withColumn("_fan", fan.cast("long"))
             .withColumn("_rcnt", F.coalesce(F.col("_rcnt"), F.lit(0)))
-            .withColumn("_rsum", F.coalesce(F.col("_rsum"), F.lit(0).cast(f"decimal(18,{score_scale})")))
+            .withColumn("_rsum", F.coalesce(F.col("_rsum"), F.lit(0).cast(SCORE_TYPE)))
             .drop("_rrows"))
 
 
@@ -41,7 +45,8 @@ def fanout_summary(weighted: DataFrame, by: Sequence[str], order_key: str, item_
     revenue, average item price and average review score.
     Distinct orders come from a (group, order) pre-aggregate, not Expand."""
     fan = F.col("_fan")
-    lvl1 = weighted.groupBy(*by, order_key).agg(
+    keys = [*by, order_key] if with_orders else list(by)
+    lvl1 = weighted.groupBy(*keys).agg(
         F.sum(F.when(F.col(item_col).isNotNull(), fan).otherwise(0)).alias("_items"),
         F.sum(F.col(price_col) * fan).alias("_rev"),
         F.sum(F.when(F.col(price_col).isNotNull(), fan).otherwise(0)).alias("_pn"),
@@ -52,6 +57,6 @@ def fanout_summary(weighted: DataFrame, by: Sequence[str], order_key: str, item_
     aggs += [F.sum("_items").cast("long").alias("items_sold"), sql_round(F.sum("_rev"), digits).alias("revenue")]
     if with_avg_price:
         aggs.append(sql_round(F.sum("_rev") / F.sum("_pn"), digits).alias("avg_item_price"))
-    avg_rating = (F.sum("_rs").cast("decimal(28,2)") / F.nullif(F.sum("_rc"), F.lit(0)).cast("decimal(18,0)"))
+    avg_rating = (F.sum("_rs") / F.nullif(F.sum("_rc"), F.lit(0)).cast("decimal(18,0)"))
     aggs.append(F.round(avg_rating, digits).cast("double").alias("avg_rating"))
     return lvl1.groupBy(*by).agg(*aggs)

@@ -75,12 +75,10 @@ def retention_pct(cohorts: DataFrame, digits: int = 3) -> DataFrame:
             .drop("_size"))
 
 
-def retention_triangle(retention: DataFrame, value: str = "retention_pct") -> DataFrame:
+def retention_triangle(retention: DataFrame, months: int, value: str = "retention_pct") -> DataFrame:
     """The long cohort table pivoted wide: one row per cohort, one column per
-    month index that occurs ("0", "1", ...), like a pandas pivot. The column
-    list is the distinct month indexes — at most one per calendar month — read
-    once and passed to ``pivot``, so the table itself never moves through the
-    driver."""
-    indexes = [r[0] for r in retention.select("month_index").distinct().orderBy("month_index").collect()]
+    month index "0" to str(months - 1). ``months`` is the number of calendar
+    months that the dates span, so no index lies beyond it."""
+    indexes = list(range(months))
     wide = (retention.groupBy("cohort_month").pivot("month_index", indexes).agg(F.first(value)))
     return wide.select("cohort_month", *[F.col(f"`{i}`") for i in indexes]).orderBy("cohort_month")

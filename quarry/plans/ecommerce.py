@@ -101,8 +101,11 @@ def cohort_retention_pct(tables) -> DataFrame:
 
 
 def cohort_retention_triangle(tables) -> DataFrame:
-    """M8, wide form: one row per cohort, one column per month index."""
-    return growth.retention_triangle(cohort_retention_pct(tables))
+    """M8, wide form: one row per cohort, one column for every month that the purchase dates span
+    (their first and last date are read for it)."""
+    span = tables["orders"].agg(F.min("order_purchase_timestamp").alias("lo"), F.max("order_purchase_timestamp").alias("hi")).first()
+    months = 0 if span["lo"] is None else 12 * (span["hi"].year - span["lo"].year) + span["hi"].month - span["lo"].month + 1
+    return growth.retention_triangle(cohort_retention_pct(tables), months)
 
 
 def top_customers_by_ltv(tables) -> DataFrame:

@@ -312,7 +312,7 @@ def price_percentiles(spark, d):
     p = t.part.select("p_partkey", F.col("p_type").alias("category"))
     j = l.join(p, l.l_partkey == p.p_partkey).select("category", "l_extendedprice")
     dist = distribution.distribution_by_group(j, ["category"], "l_extendedprice", min_count=50,
-                                              count_name="line_count", decimal_scale=2)
+                                              count_name="line_count", decimal_scale=6)
     out = dist.select("category", "line_count", F.col("avg_value").alias("avg_price"),
                       F.col("median_value").alias("median_price"), "q1", "q3",
                       F.col("value_range").alias("price_range"))
@@ -761,10 +761,13 @@ def retention_pct(spark, d):
     return growth.retention_pct(_cohorts(spark, d))
 
 
+ORDER_MONTHS = 80  # 1995-01 to 2001-08, the dates of ``orders``
+
+
 @query("retention_triangle")
 def retention_triangle(spark, d):
     """M8: the retention table pivoted to the cohort triangle (one column per month index)."""
-    return growth.retention_triangle(growth.retention_pct(_cohorts(spark, d)))
+    return growth.retention_triangle(growth.retention_pct(_cohorts(spark, d)), ORDER_MONTHS)
 
 
 @query("top_ltv")

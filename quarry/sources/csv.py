@@ -1,9 +1,9 @@
 """CSV sources: typed by declaration, legacy encodings, missing-value words.
 
-A wide CSV is read with its header (every column as text, no inference pass),
-then only the declared columns are selected, renamed and cast. Spark's CSV
-reader prunes the other columns while parsing, and privacy columns are never
-selected, so they never reach a cache, a shuffle or a written file.
+A wide CSV is read with its header (every column as text, no inference pass).
+Declared columns are renamed and cast; every other column is kept as text, and
+Catalyst prunes what a query does not use. Privacy columns are dropped at once,
+so they never reach a cache, a shuffle or a written file.
 """
 
 from __future__ import annotations
@@ -48,7 +48,10 @@ def _typed(raw, dtype: str, null_words: Sequence[str]):
         # a number or NULL: text such as '4d' that Spark's cast would accept is refused
         num = F.when(F.trim(c).rlike(NUMERIC_TEXT), F.trim(c))
         if t in ("int", "integer", "bigint", "long", "smallint"):
-            return num.try_cast("double").try_cast(t)
+            # digits go straight to the integer type; 1.0 or 1e3 by way of an exact decimal; 1.7 is no integer
+            exact = num.try_cast("decimal(38,9)")
+            return F.coalesce(F.when(num.rlike(r"^[+-]?\d+$"), num).try_cast(t),
+                              F.when(exact == F.floor(exact), exact).try_cast(t))
         return F.nanvl(num.try_cast("double"), F.lit(None).cast("double")).cast(t)
     if t == "string":
         return c
@@ -57,9 +60,9 @@ def _typed(raw, dtype: str, null_words: Sequence[str]):
 
 def read_csv(spark: SparkSession, path: str, columns: Iterable[Col] | None = None, *,
              encoding: str = "UTF-8", null_words: Sequence[str] = ("",),
-             drop: Sequence[str] = (), multiline: bool = False) -> DataFrame:
+             drop: Sequence[str] = (), multiline: bool = False, partial: bool = False) -> DataFrame:
     """Read a header CSV (quotes ``"``, doubled quotes inside fields) and return
-    the declared columns, typed and renamed.
+    the declared columns, typed and renamed, and all others as text in snake_case.
 
     ``multiline=True`` allows newlines inside quoted fields, but Spark then reads
     each file in one task (it cannot split a file at an arbitrary newline). So
@@ -69,7 +72,8 @@ def read_csv(spark: SparkSession, path: str, columns: Iterable[Col] | None = Non
 
     Without ``columns`` every column is kept (minus ``drop``) as text with a
     snake_case name. ``null_words`` become NULL before casting; numeric columns
-    also map NaN to NULL (Spark's ``avg`` would not skip NaN).
+    also map NaN to NULL (Spark's ``avg`` would not skip NaN). A declared column
+    that the file lacks is an error, unless ``partial`` is set.
     """
     raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
            .option("multiLine", multiline).option("encoding", encoding)
@@ -80,5 +84,13 @@ def read_csv(spark: SparkSession, path: str, columns: Iterable[Col] | None = Non
     if columns is None:
         return raw.select(*[_typed(F.col(f"`{c}`"), "string", null_words).alias(snake_case(c))
                             for c in raw.columns])
-    return raw.select(*[_typed(F.col(f"`{c.source}`"), c.dtype, null_words).alias(c.name)
-                        for c in columns])
+    columns = [c for c in columns if not partial or c.source in raw.columns]
+    typed = [_typed(F.col(f"`{c.source}`"), c.dtype, null_words).alias(c.name) for c in columns]
+    taken = {c.name for c in columns}
+    for name in [c for c in raw.columns if c not in {d.source for d in columns}]:
+        plain = snake_case(name)
+        while plain in taken:
+            plain += "_text"
+        taken.add(plain)
+        typed.append(_typed(F.col(f"`{name}`"), "string", null_words).alias(plain))
+    return raw.select(*typed)

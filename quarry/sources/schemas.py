@@ -66,8 +66,11 @@ ECOMMERCE = {
     "products": [Col("product_id", "product_id"), Col("product_category_name", "product_category_name")],
     "category_translation": [Col("product_category_name", "product_category_name"),
                              Col("product_category_name_english", "product_category_name_english")],
-    "sellers": None,        # loaded whole, never queried
-    "geolocation": None,
+    "sellers": [Col("seller_id", "seller_id"), Col("seller_zip_code_prefix", "seller_zip_code_prefix", "long"),
+                Col("seller_city", "seller_city"), Col("seller_state", "seller_state")],
+    "geolocation": [Col("geolocation_zip_code_prefix", "geolocation_zip_code_prefix", "long"),
+                    Col("geolocation_lat", "geolocation_lat", "double"), Col("geolocation_lng", "geolocation_lng", "double"),
+                    Col("geolocation_city", "geolocation_city"), Col("geolocation_state", "geolocation_state")],
 }
 # tables whose free-text fields (review comments) hold quoted newlines
 ECOMMERCE_MULTILINE = {"order_reviews"}
@@ -107,5 +110,5 @@ def load_ecommerce(spark: SparkSession, folder: str,
     out = {}
     for name, cols in ECOMMERCE.items():
         out[name] = read_csv(spark, os.path.join(folder, files.get(name, f"{name}.csv")), cols,
-                             multiline=name in ECOMMERCE_MULTILINE)
+                             multiline=name in ECOMMERCE_MULTILINE, partial=name in ("sellers", "geolocation"))
     return out

@@ -70,6 +70,7 @@ def spark_rows(df):
 
 
 def duck_rows(con, sql):
+    con.execute(f"CREATE OR REPLACE TEMP VIEW checked AS {sql}")  # the driver makes a view, too
     rel = con.execute(sql)
     cols = [d[0] for d in rel.description]
     rows = [tuple(_norm(v) for v in r) for r in rel.fetchall()]

@@ -12,7 +12,7 @@ from tests.conftest import SF01
 from tests.oracle_compare import compare
 
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
-         "quarry.broadcastMaxRows": "0"}
+         }
 
 
 @pytest.fixture(scope="module")

@@ -69,7 +69,7 @@ def test_positions_and_outliers_without_broadcast(spark):
     df = spark.range(0, 2000).select("id", (F.col("id") % 5).cast("string").alias("g"),
                                      F.when(F.col("id") == 7, 10000.0).otherwise(F.col("id") % 50 + 1.0).alias("v"))
     # over the bound the join is left to Spark's size-based choice; switch that off too
-    confs = {"quarry.broadcastMaxRows": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     before = {k: spark.conf.get(k, None) for k in confs}
     for k, v in confs.items():

@@ -47,3 +47,27 @@ def test_single_line_reads_are_splittable(spark, tmp_path):
         assert df.rdd.getNumPartitions() > 1 and df.count() == 200000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_undeclared_columns_large_ids_and_fractions_survive(spark, tmp_path):
+    from quarry.sources.csv import Col, read_csv
+    path = tmp_path / "wide.csv"
+    path.write_text("Id,Some Note,Score,Secret\n9007199254740993,kept,4.125,x\n1.7,also kept,4.126,y\n1e3,,2,z\n-5.0,k,,w\n")
+    df = read_csv(spark, str(path), [Col("Id", "id", "long"), Col("Score", "score", "double")], drop=["Secret"])
+    assert dict(df.dtypes) == {"id": "bigint", "score": "double", "some_note": "string"}
+    assert [r["id"] for r in df.collect()] == [9007199254740993, None, 1000, -5]
+    assert [r["some_note"] for r in df.collect()] == ["kept", "also kept", None, "k"]
+
+
+def test_three_decimal_scores_are_averaged_exactly(spark):
+    from quarry.operators.fanout import fanout_summary, review_weights
+    items = spark.createDataFrame([("o1", "i1", "c", 10.0)], "o string, i string, c string, p double")
+    reviews = spark.createDataFrame([("o1", 4.125), ("o1", 4.126)], "o string, s double")
+    row = fanout_summary(review_weights(items, reviews, "o", "o", "s"), ["c"], "o", "i", "p", digits=4).first()
+    assert row["avg_rating"] == 4.1255 and row["orders"] == 1 and row["items_sold"] == 2
+
+
+def test_register_views(spark):
+    from quarry import catalog
+    catalog.register_views({"some_rows": spark.range(3)})
+    assert spark.sql("SELECT COUNT(*) FROM some_rows").first()[0] == 3
