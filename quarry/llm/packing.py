@@ -60,9 +60,6 @@ class WordBpe:
     #: lower-case forms that depend on context.
     PLAIN = re.compile("[!-~¡-±´-¸º»¿-įı-ɏ]*")
 
-    #: A lone comma or stop after a letter.
-    STOP = re.compile(r"(?<=[a-zà-öø-ÿ])([,.])(?=[ \n])")
-
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -117,7 +114,7 @@ class WordBpe:
         if "<|" not in text:
             try:
                 text.encode("latin-1")
-                text = self.STOP.sub(r" \1", text.lower())  # the library lower-cases too; a sign after a letter is a piece
+                text = text.lower()  # the library lower-cases too; fewer words to remember
             except UnicodeEncodeError:
                 pass
         words = text.replace("\n", " ").split(" ")
