@@ -27,7 +27,7 @@ WINDOW = 4096
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
 END_ID = 2
-MEMO_ENTRIES, MEMO_CHARS = 800_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 250_000, 48
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
