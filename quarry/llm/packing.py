@@ -49,76 +49,101 @@ class _Memo(dict):
 class WordBpe:
     """A BPE vocabulary with word ends, lower case, and white space dropped (tokenizers JSON).
 
-    No token spans white space, so words are encoded by themselves and remembered. A new word of
-    plain Latin letters, digits and signs is split by the vocabulary's own pattern and merged by
-    rank; any other one is left to the library.
+    No token spans white space, so stretches of words are encoded by themselves. Words of ASCII and
+    Latin-1 letters, digits and signs are lower-cased and cut into pieces byte-wise: the last
+    byte of a piece is swapped for one that such texts leave free (``LAST``), so a piece ends where
+    one of those stands and the vocabulary's merges apply to the bytes as they are. Any other word
+    is left to the library and remembered.
     """
 
-    #: The vocabulary's own pattern, as it reads for the characters of PLAIN.
-    PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-    #: Composed characters without white space, combining marks, fractions and raised digits, or
-    #: lower-case forms that depend on context.
-    PLAIN = re.compile("[!-~¡-±´-¸º»¿-įı-ɏ]*")
+    #: Signs of ASCII, in order; the last byte of a run of them becomes its place here.
+    SIGNS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+    #: Second bytes (after C3) of the Latin-1 small letters, but the last one.
+    SMALL = bytes([0x9F, *(c for c in range(0xA0, 0xBF) if c != 0xB7)])
+    #: What may stand inside a piece, and for each byte that may end one, its form as the last.
+    INNER = frozenset(bytes(range(0x61, 0x7B)) + SIGNS + b"\xc3" + SMALL)
+    LAST = {**{c: c - 0x20 for c in range(0x61, 0x7B)}, **{c: i for i, c in enumerate(SIGNS)}, **{c: c for c in range(0x30, 0x3A)},
+            **{c: c - 0x20 for c in SMALL[1:]}, 0x9F: 0x97}
+    LOWER = bytes(c + 0x20 if 0x41 <= c <= 0x5A or 0x80 <= c <= 0x9E else 0x20 if c in b"\t\n\r" else c for c in range(256))
+    #: Bytes of such texts before they are lower-cased (no multiplication sign, which is C3 97).
+    PLAIN = b"\t\n\r" + bytes(range(0x20, 0x7F)) + b"\xc3" + SMALL + bytes(c - 0x20 for c in SMALL[1:])
+    #: A word for the library: one with another character, or that may hold a special token.
+    ODD = re.compile(r"[^\t\n\r -~À-ÖØ-Þß-öø-þ]|<\|")
+    CONTRACTION = re.compile(rb"(?<![!-/:-@\[-`{-~])'(?:s|t|re|ve|m|ll|d)")
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
-        self.special = [t["content"] for t in spec["added_tokens"]]
         top = max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.size = top + 1
         from quarry.llm.bpe import _byte_of_char
         to_byte = _byte_of_char()
 
-        def symbols(token: str) -> bytes:
-            """Two bytes per byte of the token: whether a word ends there, and the byte."""
+        def form(token: str) -> bytes | None:
+            """The token as it stands in a text made ready, None if it can't stand there."""
             ends = token.endswith(end)
-            raw = [to_byte[c] for c in (token[: -len(end)] if ends else token)]
-            return bytes(x for i, b in enumerate(raw) for x in (int(ends and i == len(raw) - 1), b))
-
-        ranks: dict[bytes, int] = {}
-        self.id_of_rank: list[int] = []
-
-        def rank(token: str) -> None:
-            s = symbols(token)
-            if s not in ranks:
-                ranks[s] = len(self.id_of_rank)
-                self.id_of_rank.append(vocab[token])
-        for c in sorted(to_byte, key=to_byte.get):
-            rank(c)
-        for c in sorted(to_byte, key=to_byte.get):
-            rank(c + end)
+            raw = bytes(to_byte[c] for c in (token[: -len(end)] if ends else token))
+            inner = raw[:-1] if ends else raw
+            if not raw or not self.INNER.issuperset(inner) or (ends and raw[-1] not in self.LAST):
+                return None
+            return inner + bytes([self.LAST[raw[-1]]]) if ends else raw
+
+        char = {b: c for c, b in to_byte.items()}
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = [vocab[char[b]] for b in range(256)]
+        for b, as_last in self.LAST.items():
+            ids[as_last] = vocab[char[b] + end]
         for merge in spec["model"]["merges"]:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            rank(left + right)
-        self.merge = tiktoken.Encoding("word-bpe", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        self.id_bytes = [np.array([i], self.dtype).tobytes() for i in self.id_of_rank]
-        self.memo, self.pieces = _Memo(self._encode_word), _Memo(self._encode_piece)
-
-    def _encode_piece(self, piece: str) -> bytes:
-        raw = piece.encode()
-        coded = bytearray(2 * len(raw))
-        coded[1::2] = raw
-        coded[-2] = 1
-        return b"".join([self.id_bytes[r] for r in self.merge(bytes(coded))])
+            token = form(left + right)
+            if token is not None and token not in ranks:
+                ranks[token] = len(ids)
+                ids.append(vocab[left + right])
+        self.id_of_rank = np.array(ids, self.dtype)
+        stops = r"A-Z0-9\x00-\x1f\u00c0-\u00de"
+        # no text that comes here holds the special token; it lets the ids arrive as a buffer
+        encoding = tiktoken.Encoding("word-bpe", pat_str=f"[^ {stops}]*[{stops}]", mergeable_ranks=ranks, special_tokens={"<|": len(ids)})
+        self.merge = encoding._core_bpe.encode_to_tiktoken_buffer
+        letters = {*range(0x61, 0x7B), 0xC3, *self.SMALL}
+        self.kind = bytes(1 if c in letters else 2 if 0x30 <= c <= 0x39 else 3 if c in self.SIGNS else 0 for c in range(256))
+        self.last = bytes(self.LAST.get(c, c) for c in range(256))
+        self.memo = _Memo(self._encode_word)
+
+    def _encode_plain(self, raw: bytes) -> bytes:
+        """Ids of a text of PLAIN bytes alone, without ``<|``."""
+        raw = raw.translate(self.LOWER)
+        kind = np.frombuffer(raw.translate(self.kind), np.uint8)  # white space, letter, digit, sign
+        stop = kind > 0
+        stop[:-1] &= (kind[:-1] != kind[1:]) | (kind[:-1] == 2)
+        if b"'" in raw:
+            for m in self.CONTRACTION.finditer(raw):
+                stop[m.start()], stop[m.end() - 1] = False, True
+        ready = np.where(stop, np.frombuffer(raw.translate(self.last), np.uint8), np.frombuffer(raw, np.uint8)).tobytes().decode()
+        return self.id_of_rank[np.frombuffer(self.merge(ready, set()), np.uint32)].tobytes()
 
     def _encode_word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word) and not ("<|" in word and any(s in word for s in self.special)):
-            low = word.lower()
-            return self.pieces[low] if low.isalpha() else b"".join(map(self.pieces.__getitem__, self.PATTERN.findall(low)))
         return np.array(self.library.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if "<|" not in text:
-            try:
-                text.encode("latin-1")
-                text = text.lower()  # the library lower-cases too; fewer words to remember
-            except UnicodeEncodeError:
-                pass
-        words = text.replace("\n", " ").split(" ")
-        return b"".join(map(self.memo.__getitem__, words))
+        raw = text.encode()
+        if "<|" not in text and not raw.translate(None, self.PLAIN):
+            return self._encode_plain(raw)
+        out: list[bytes] = []
+        plain: list[str] = []
+        for word in text.replace("\n", " ").split(" "):
+            if self.ODD.search(word):
+                if plain:
+                    out.append(self._encode_plain(" ".join(plain).encode()))
+                    plain.clear()
+                out.append(self.memo[word])
+            elif word:
+                plain.append(word)
+        if plain:
+            out.append(self._encode_plain(" ".join(plain).encode()))
+        return b"".join(out)
 
 
 @lru_cache(2)
