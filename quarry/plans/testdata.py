@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from quarry.functions import exprs as X
 from quarry.operators import correlation, distribution, explode, explorer, fanout, groups, growth, ml
 from quarry.operators import positions, ranking, reshape, rfm
+from quarry.sources import etl
 from quarry.sources.tables import TableSet
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {}
@@ -901,3 +902,17 @@ def ols_summary(spark, d):
     row = [float(r2), float(model.intercept)] + [float(c) for c in model.coefficients]
     names = ["r2", "intercept"] + [f"coef_{c[2:]}" for c in OLS_FEATURES]
     return spark.createDataFrame([tuple(row)], ", ".join(f"{n} double" for n in names))
+
+
+@query("row_count_audit")
+def row_count_audit(spark, d):
+    """A7: rows of every table."""
+    return etl.audit(_t(spark, d))
+
+
+@query("labelled_documents")
+def labelled_documents(spark, d):
+    """A12: a projection of documents with their labels, rows without a quality dropped."""
+    t = _t(spark, d)
+    return (t.documents.select("doc_id", "lang", "n_chars").join(t.labels, "doc_id", "left")
+            .filter(F.col("quality").isNotNull()).select("doc_id", "lang", "n_chars", "quality"))

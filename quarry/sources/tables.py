@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +41,17 @@ class TableSet:
 
 
 def open_store(spark: SparkSession, folder: str, names: Iterable[str]) -> TableSet:
-    """Open a persisted table set, failing early with guidance if it is missing."""
-    names = tuple(names)
-    is_local = "://" not in folder or folder.startswith("file:")
-    if is_local:
-        local = folder.replace("file://", "")
-        missing = [n for n in names if not os.path.exists(f"{local}/{n}.parquet")]
-        if missing:
-            raise FileNotFoundError(
-                f"table store {folder!r} lacks {missing}; build it first with "
-                "quarry.sources.etl.load_tables(spark, sources, folder)")
-    return TableSet(spark, folder, names)
+    """Open a persisted table set on any file system Spark reads, failing early with guidance
+    if a table is missing."""
+    store = TableSet(spark, folder, names)
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def exists(name: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(store.path(name))
+        return path.getFileSystem(conf).exists(path)
+    missing = [n for n in store.names if not exists(n)]
+    if missing:
+        raise FileNotFoundError(
+            f"table store {folder!r} lacks {missing}; build it first with "
+            "quarry.sources.etl.load_tables(spark, sources, folder)")
+    return store

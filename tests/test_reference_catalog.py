@@ -236,4 +236,11 @@ def test_etl_roundtrip_and_store(spark, data, tmp_path):
     assert from_store == from_csv
     with pytest.raises(FileNotFoundError):
         open_store(spark, str(tmp_path / "missing"), ["orders"])
+    with pytest.raises(FileNotFoundError, match="refunds"):
+        open_store(spark, f"file://{dst}", ["orders", "refunds"])
+    assert open_store(spark, f"file://{dst}", ["orders"])["orders"].count() == 120
+    catalog.register_views({"shop_orders": store["orders"]})
+    assert spark.sql("SELECT COUNT(*) AS n FROM shop_orders").first().n == 120
+    open_store(spark, dst, ["sellers"]).register()
+    assert spark.sql("SELECT COUNT(*) AS n FROM sellers").first().n == 1
     assert os.path.exists(f"{dst}/orders.parquet")
