@@ -188,28 +188,40 @@ def _prune_pairs(least: list[tuple[int, int]], width: int):
 
 
 def _likeliest(least: list[tuple[int, int]], width: int, num: int, den: int, each: bool):
-    """For every outsider of a bucket the likeliest partner outside its component, or with ``each``
-    the likeliest in every other component, as far as the sketches don't rule all of them out."""
+    """For every outsider of a bucket the likeliest partner outside its component, as far as the
+    sketches don't rule all of them out. With ``each`` the likeliest in every other component of
+    several texts; and every single text with a single partner, without naming that one (b is null)."""
     def run(block: pa.Table) -> pa.Table:
         doc, comp, n, major = (block.column(c).to_numpy() for c in ("doc_id", "component", "n", "major"))
-        asks = block.column("asks").to_numpy(zero_copy_only=False)
+        asks, single = (block.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "single"))
         sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
         left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
         found_a, found_b = [], []
+        marked = np.zeros(len(doc), bool)
         for x in left:
             # of two outsiders the smaller one asks
-            y = right[(comp[right] != comp[x]) & ((comp[right] == major[right]) | (doc[right] > doc[x]))
-                      & (np.minimum(n[right], n[x]) * den >= np.maximum(n[right], n[x]) * num)]
+            turn = (comp[right] == major[right]) | (doc[right] > doc[x])
+            if each:   # a single text always asks one of a larger component, and is not asked by it
+                turn = np.where(single[right], turn & single[x], turn | single[x])
+            y = right[(comp[right] != comp[x]) & turn & (np.minimum(n[right], n[x]) * den >= np.maximum(n[right], n[x]) * num)]
             if len(y):
                 alive, matches = _alike(sketch[y], sketch[x: x + 1], least)
                 y = y[alive]
+                if each:
+                    alone = single[y]
+                    marked[y[alone]] = True
+                    marked[x] |= alone.any()
+                    y, matches = y[~alone], matches[~alone]
                 order = np.lexsort((doc[y], -matches, comp[y])) if each else np.lexsort((doc[y], -matches))
                 _, first = np.unique(comp[y][order], return_index=True)
                 y = y[order[first]] if each else y[order[:1]]
                 found_a.append(np.full(len(y), doc[x]))
                 found_b.append(doc[y])
-        cat = lambda p: pa.array(np.concatenate(p) if p else np.empty(0, np.int64), pa.int64())
-        return pa.table({"a": cat(found_a), "b": cat(found_b)})
+        cat = lambda p: np.concatenate(p) if p else np.empty(0, np.int64)
+        found, lone = cat(found_a), np.unique(doc[marked])
+        return pa.table({"key": pa.array(np.full(len(found) + len(lone), block.column("key")[0].as_py()), pa.int64()),
+                         "a": pa.array(np.concatenate([found, lone]), pa.int64()),
+                         "b": pa.chunked_array([pa.array(cat(found_b), pa.int64()), pa.nulls(len(lone), pa.int64())])})
     return run
 
 
@@ -240,6 +252,34 @@ def _first_links(least: list[tuple[int, int]], width: int, num: int, den: int):
     return run
 
 
+def _single_links(least: list[tuple[int, int]], width: int, num: int, den: int):
+    """Links among the single texts of one chunk, or between those of two: all that are needed to join
+    what belongs together. Every pair that the sketches don't rule out is compared, unless links of
+    the block join it already."""
+    def run(block: pa.Table) -> pa.Table:
+        doc, n, chunk = (block.column(c).to_numpy() for c in ("doc_id", "n", "mine"))
+        within = block.column("i")[0] == block.column("o")[0]
+        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
+        sets = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
+        group = np.unique(doc, return_inverse=True)[1]
+        found = []
+        for x in range(len(doc)):
+            y = np.arange(x + 1, len(doc))
+            y = y[(group[y] != group[x]) & (within | (chunk[y] != chunk[x]))
+                  & (np.minimum(n[y], n[x]) * den >= np.maximum(n[y], n[x]) * num)]
+            if len(y):
+                alive, matches = _alike(sketch[y], sketch[x: x + 1], least)
+                for k in y[alive[np.argsort(-matches, kind="stable")]]:
+                    if group[k] == group[x]:
+                        continue
+                    both = _shared_count(sets[x], sets[k])
+                    if both * den >= num * (len(sets[x]) + len(sets[k]) - both):
+                        found.append((doc[x], doc[k]))
+                        group[group == group[k]] = group[x]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+    return run
+
+
 def _confirm(num: int, den: int):
     def run(batches):
         for batch in batches:
@@ -270,8 +310,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with one bucket mate; in buckets that still hold several components, one text of each with the
     bucket's smallest; texts outside a bucket's largest component with their likeliest partner in
     other components; and at last such texts with all members of the components that hold a likely
-    partner, whose sets are compared in the task. Pairs inside a component need no test. Blocks of
-    bounded size meet inside tasks, so no bucket is emitted as all its pairs and none is capped.
+    partner, and the texts still single with all single ones of their buckets, whose sets are compared
+    in the task. Pairs inside a component need no test. Blocks of bounded size meet inside tasks, so
+    no bucket is emitted as all its pairs and none is capped.
     The heavy joins are merge joins at every size, which adaptive execution splits where a key is hot.
     """
     level = Fraction(str(threshold))
@@ -310,10 +351,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return materialize(sized.mapInArrow(_prune_pairs(least, width), "a long, b long"), f"alike-{label}")
 
     def placed(labels: DataFrame) -> DataFrame:
-        """Bucket members with their ids and components so far."""
+        """Bucket members with their ids and components so far; labels hold no single texts."""
         ids = node.select("fp1", "doc_id", "n")
         return (bucket.join(ids, "fp1").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                .select("key", "fp1", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
+                .select("key", "fp1", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"),
+                        F.col("component").isNull().alias("single")))
 
     first = bucket.filter("fp1 <> lo").groupBy("fp1").agg(F.min("lo").alias("a")).select("a", F.col("fp1").alias("b"))
     links = linked(alike(first, "first"), "first")
@@ -338,18 +380,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return F.ceil(size / CHUNK).cast("long")
 
     def likeliest(members: DataFrame, each: bool) -> DataFrame:
-        """(a, b): texts outside their bucket's largest component and their likeliest partners."""
-        parts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
-        mixed = (parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("big"), F.sum("size").alias("total"), F.count("*").alias("parts"))
+        """(key, a, b): texts outside their bucket's largest component and their likeliest partners."""
+        parts = members.groupBy("key", "component").agg(F.count("*").alias("size"), F.min(~F.col("single")).alias("several"))
+        mixed = (parts.groupBy("key").agg(F.max(F.struct("several", "size", "component")).alias("big"), F.sum("size").alias("total"), F.count("*").alias("parts"))
                  .filter("parts > 1 and total > 2")
                  .select("key", F.col("big.component").alias("major"), chunks(F.col("total")).alias("all"),
                          chunks(F.col("total") - F.col("big.size")).alias("out")))
         rest = members.join(mixed, "key").join(node.select("fp1", "sketch"), "fp1")
-        cols = ("key", "major", "doc_id", "component", "n", "sketch")
+        cols = ("key", "major", "doc_id", "component", "single", "n", "sketch")
         blocks = dealt(rest, False, "all", "out", *cols).unionByName(dealt(rest.filter("component <> major"), True, "out", "all", *cols))
-        return materialize(blocks.groupBy("key", "a", "o").applyInArrow(_likeliest(least, width, num, den, each), "a long, b long").distinct(), "likeliest")
+        return materialize(blocks.groupBy("key", "a", "o").applyInArrow(_likeliest(least, width, num, den, each), "key long, a long, b long"), "likeliest")
 
-    third = linked(likeliest(materialize(placed(labels), "members"), False), "likeliest")
+    third = linked(likeliest(materialize(placed(labels), "members"), False).select("a", "b").distinct(), "likeliest")
     if third.limit(1).count():
         links = links.unionByName(third)
         labels = connected_components(links)
@@ -357,9 +399,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what is left: a text against all members of a component that holds a likely partner of it
     members = materialize(placed(labels), "members")
     text = materialize(members.select("doc_id", "n", "fp1", "component").distinct(), "placed")
-    asking = (likeliest(members, True).join(text.select(F.col("doc_id").alias("b"), "component"), "b")
+    likely = likeliest(members, True)
+    asking = (likely.filter("b is not null").select("a", "b").distinct().join(text.select(F.col("doc_id").alias("b"), "component"), "b")
               .select(F.col("a").alias("doc_id"), "component").distinct())
-    sizes = text.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1")   # pairs of single texts are settled
+    sizes = text.groupBy("component").agg(F.count("*").alias("size"))
     sides = (asking.groupBy("component").agg(F.count("*").alias("askers")).join(sizes, "component")
              .select("component", chunks(F.col("size")).alias("all"), chunks(F.col("askers")).alias("out")))
     known = node.select("fp1", "sketch")
@@ -368,6 +411,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked_of = text.join(sides, "component").join(known, "fp1").join(sets, "doc_id")
     blocks = dealt(asked_of, False, "all", "out", *cols).unionByName(dealt(askers, True, "out", "all", *cols))
     last = materialize(blocks.groupBy("component", "a", "o").applyInArrow(_first_links(least, width, num, den), "a long, b long").distinct(), "last")
+
+    # and single texts that have likely partners among the single ones of a bucket: all of them against each other
+    lone = likely.filter("b is null").select("key", F.col("a").alias("doc_id")).distinct()
+    dealing = lone.groupBy("key").agg(chunks(F.count("*")).alias("all"))
+    meeting = (lone.join(dealing, "key").join(text.select("doc_id", "n", "fp1"), "doc_id").join(known, "fp1").join(sets, "doc_id")
+               .select("key", "doc_id", "n", "sketch", "shingles", F.pmod(F.xxhash64("doc_id"), F.col("all")).alias("mine"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).alias("other"))
+               .withColumn("i", F.least("mine", "other")).withColumn("o", F.greatest("mine", "other")).drop("other"))
+    alone = materialize(meeting.groupBy("key", "i", "o").applyInArrow(_single_links(least, width, num, den), "a long, b long").distinct(), "alone")
+    last = last.unionByName(alone)
     if last.limit(1).count():
         labels = connected_components(links.unionByName(last))
 

@@ -91,6 +91,30 @@ def test_blocks_of_a_bucket(spark):
     near_dedup.CHUNK = 512
 
 
+def test_pairs_among_likelier_single_texts(spark):
+    """A family of one template: pairs just above the threshold are found among single texts just
+    below it, many of which look likelier by their sketches; whatever the block size."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    base, edits = [word() for _ in range(240)], []
+    while len(edits) < 80:
+        a = set(rng.sample(range(1, 239, 2), 8))
+        b = set(rng.sample(sorted(a), 3) + rng.sample(sorted(set(range(1, 239, 2)) - a), 5))
+        if all(len(x & y) < 3 for x in edits for y in (a, b)):
+            edits += [a, b]
+    ids = rng.sample(range(1000), len(edits))
+    rows = [(i, " ".join(word() if p in e else base[p] for p in range(240))) for i, e in zip(ids, edits, strict=True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 2)
+    assert len({r[2] for r in want}) == 40
+    assert got(near_duplicates(df, shingle_words=2)) == want
+    try:
+        near_dedup.CHUNK = 7
+        assert got(near_duplicates(df, shingle_words=2)) == want
+    finally:
+        near_dedup.CHUNK = 512
+
+
 def test_pruning_keeps_similar_pairs():
     rng = np.random.default_rng(1)
     least = least_matches(150, 0.8, 1e-6)
