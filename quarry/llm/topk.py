@@ -38,10 +38,12 @@ def block_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
     rows, cols = np.ascontiguousarray(q.T), np.ascontiguousarray(c.T)
     dims = len(rows)
     same = q_ids[:, None] == c_ids[None, :]
+    again = np.ones(len(c_ids), bool)   # all rows of an id but one, which stands for it in bounds
+    again[np.unique(c_ids, return_index=True)[1]] = False
     low = np.iinfo(np.int64).min if kind is not np.float64 else -np.inf
 
     def kth_of(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """A lower bound on each query's k-th best score, or none where there are fewer."""
+        """A lower bound on each query's k-th best score of distinct ids, or none where there are fewer."""
         if scores.shape[1] <= k:
             return np.full(len(q_ids), -np.inf)
         s = np.where(own, low, scores).astype(np.float64)
@@ -49,7 +51,7 @@ def block_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
         return np.where(s <= -9e18, -np.inf, s)
 
     seed = min(len(c_ids), max(4 * k, 64))  # the longest vectors, scored in full, give the first thresholds
-    floor = kth_of(rows.T.dot(cols[:, :seed]), same[:, :seed])
+    floor = kth_of(rows.T.dot(cols[:, :seed]), (same | again)[:, :seed])
     alive = np.arange(len(c_ids))
     partial = np.zeros((len(q_ids), len(c_ids)), kind)
     done = 0
@@ -62,7 +64,7 @@ def block_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
             rest_c = np.sqrt(np.square(cols[done:][:, alive].astype(np.float64)).sum(axis=0))
             mass = np.multiply.outer(rest_q, rest_c) * (1 + 1e-9) + 1e-6
             now = partial.astype(np.float64)
-            floor = np.maximum(floor, kth_of(now - mass, same[:, alive]))
+            floor = np.maximum(floor, kth_of(now - mass, (same | again)[:, alive]))
             slack = np.abs(now) * 1e-12 + np.abs(floor)[:, None] * 1e-12 if kind is not np.float64 else 0
             useful = (now + mass + slack >= floor[:, None]).any(axis=0)
             if not useful.all():
@@ -72,6 +74,10 @@ def block_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
     ids = c_ids[alive]
     for x in range(len(q_ids)):
         scores, cand = partial[x][~own[x]], ids[~own[x]]
+        if again.any() and len(cand):   # an id's best row
+            by_id = np.argsort(cand, kind="stable")
+            cand, starts = np.unique(cand[by_id], return_index=True)
+            scores = np.maximum.reduceat(scores[by_id], starts)
         if len(cand) > k:
             cut = np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= cut
@@ -90,9 +96,10 @@ def block_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarr
 
 def _unique_rows(ids: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Repeated rows (id and vector) once."""
-    if len(np.unique(ids)) == len(ids):
+    known, code = np.unique(ids, return_inverse=True)
+    if len(known) == len(ids):
         return ids, m
-    _, at = np.unique(np.column_stack([ids.astype(np.float64), m]), axis=0, return_index=True)
+    _, at = np.unique(np.column_stack([code.astype(np.float64), m]), axis=0, return_index=True)
     return ids[np.sort(at)], m[np.sort(at)]
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from quarry.llm.queries import SQL, op2_exact_topk
-from quarry.llm.topk import block_top_k, exact_top_k
+from quarry.llm.topk import _unique_rows, block_top_k, exact_top_k
 from tests.llm.data import SF01
 
 
@@ -56,3 +56,32 @@ def test_block_is_exact_whatever_the_size(size):
         best = sorted((-sum(p * r for p, r in zip(ints[x], y)), int(i)) for y, i in zip(ints, ids) if i != ids[x])[:5]
         mine = [(-max(-2**63, min(2**63 - 1, int(s[j]))), int(a[j])) for j in np.flatnonzero(q == ids[x])]
         assert mine == [(-max(-2**63, min(2**63 - 1, -n)), i) for n, i in best]
+
+
+def test_differing_rows_of_one_id_are_one_candidate(spark):
+    """One id on many of the best rows takes one place; the bounds count ids, not rows."""
+    rng = np.random.default_rng(4)
+    c = rng.integers(-50, 50, (300, 64)).astype(float)
+    q = c[:3].copy()
+    ids = np.arange(300)
+    ids[150:] = 7          # half of the rows are one id, and the best ones
+    c[150:] = 2 * q[0] + rng.integers(0, 3, (150, 64))
+    q_ids = np.arange(3)
+    want = []
+    for x in q_ids:
+        best = {}
+        for i, s in zip(ids.tolist(), (c @ q[x]).tolist()):
+            if i != x:
+                best[i] = max(best.get(i, s), s)
+        want += [(x, i, s) for i, s in sorted(best.items(), key=lambda p: (-p[1], p[0]))[:5]]
+    assert sorted(zip(*(x.tolist() for x in block_top_k(q, q_ids, c, ids, 5)))) == sorted(want)
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, c / 256)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(q_ids, q / 256)], "vec_id long, embedding array<double>")
+    assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in exact_top_k(df, asked, 5).collect()) == sorted(want)
+
+
+def test_equal_vectors_of_large_neighbouring_ids_stay():
+    ids = np.array([2**53, 2**53 + 1, 2**53 + 1])
+    out = _unique_rows(ids, np.ones((3, 4)))
+    assert out[0].tolist() == [2**53, 2**53 + 1]
