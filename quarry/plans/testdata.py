@@ -762,13 +762,16 @@ def retention_pct(spark, d):
     return growth.retention_pct(_cohorts(spark, d))
 
 
-ORDER_MONTHS = 80  # 1995-01 to 2001-08, the dates of ``orders``
+ORDER_MONTHS = 80  # 1995-01 to 2001-08; later orders add columns
 
 
 @query("retention_triangle")
 def retention_triangle(spark, d):
-    """M8: the retention table pivoted to the cohort triangle (one column per month index)."""
-    return growth.retention_triangle(growth.retention_pct(_cohorts(spark, d)), ORDER_MONTHS)
+    """M8: the retention table pivoted to the cohort triangle (one column per month index, for every
+    month that the order dates span and ``ORDER_MONTHS`` at least)."""
+    span = _t(spark, d).orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+    months = 0 if span["lo"] is None else 12 * (span["hi"].year - span["lo"].year) + span["hi"].month - span["lo"].month + 1
+    return growth.retention_triangle(growth.retention_pct(_cohorts(spark, d)), max(ORDER_MONTHS, months))
 
 
 @query("top_ltv")
