@@ -76,10 +76,13 @@ def entropy_spans(text: str, allow: tuple[re.Pattern, ...] = ALLOW, classes: dic
 
 
 def scan_text(text: str, allow: tuple[re.Pattern, ...] = ALLOW) -> tuple[list, list]:
-    """(base spans, all spans), both by start, then kind. A candidate that shares characters with a
-    base span is no new secret."""
+    """(base spans, all spans), both by start, then kind. Candidates are looked for in what the base
+    spans leave of the text, so a secret joined to one is found by itself."""
     base = base_spans(text)
-    extra = [x for x in entropy_spans(text, allow) if not any(b[0] < x[1] and x[0] < b[1] for b in base)]
+    extra, at = [], 0
+    for start, end, _ in [*base, (len(text), len(text), "")]:
+        extra += [(s + at, e + at, kind) for s, e, kind in entropy_spans(text[at:start], allow)]
+        at = max(at, end)
     hexes = {x[:2] for x in extra if x[2] == "entropy_hex"}
     extra = [x for x in extra if x[2] == "entropy_hex" or x[:2] not in hexes]
     return base, sorted(base + extra, key=lambda x: (x[0], KINDS.index(x[2])))
