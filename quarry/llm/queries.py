@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, htmltext, langid, near_dedup, packing, secrets, simhash, token_counts, topk, warc
+from quarry.llm import bpe, fim, htmltext, langid, near_dedup, packing, secrets, simhash, token_counts, topk, warc
 from quarry.llm._common import scratch_path, table
 
 
@@ -53,13 +53,23 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def fim_digests(docs: DataFrame) -> DataFrame:
+    return fim.restore(fim.fill_in_middle(docs)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_topk, op3_minhash_dedup, op4_simhash, op5_bpe, op6_token_counts,
-                                   op7_secrets, op8_packing, op9_language_id, op10_main_text, pipeline)}
+                                   op7_secrets, op8_packing, op9_language_id, op10_main_text,
+                                   op11_fill_in_middle, pipeline)}
 
 SQL = {
     "op2_exact_topk": """
