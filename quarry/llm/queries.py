@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, exact_dedup, fim, htmltext, langid, near_dedup, packing, secrets, simhash, token_counts, topk, warc
+from quarry.llm import bpe, conversations, exact_dedup, fim, htmltext, langid, near_dedup, packing, secrets, simhash, token_counts, topk, warc
 from quarry.llm._common import scratch_path, table
 
 
@@ -62,6 +62,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.audit_conversations(turns, conversations.damaged(turns))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
@@ -73,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_exact_topk, op3_minhash_dedup, op4_simhash, op5_bpe, op6_token_counts,
                                    op7_secrets, op8_packing, op9_language_id, op10_main_text,
-                                   op11_fill_in_middle, op13_exact_dedup, pipeline)}
+                                   op11_fill_in_middle, op12_conversation_repair, op13_exact_dedup, pipeline)}
 
 SQL = {
     "op2_exact_topk": """
