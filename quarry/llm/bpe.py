@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +24,9 @@ from quarry.llm._common import row_groups, text_buffer
 
 MEMO_ENTRIES, MEMO_BYTES = 400_000, 64
 
+#: Runs of white space that the pre-tokenizer's pattern, which looks ahead and steps back, does not get to see.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
 
 def _byte_of_char() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable bytes stand
@@ -80,8 +84,28 @@ class ByteBpe:
         at = np.flatnonzero(self.cut_table[data[:-1], data[1:]]) + 1
         return at[~self.wide_table[data[np.maximum(at - 2, 0)], data[at - 1]]]
 
+    def plain_ids(self, text: str) -> list[int]:
+        """Ids of a text whose special strings are ordinary text. Of a run of white space before another
+        character the pattern takes all but the last one as one piece, and the last one goes with what
+        follows; at the end of a text the run is one piece. Long runs are cut by that rule."""
+        out, at = [], 0
+        for m in LONG_SPACE.finditer(text):
+            out += self.encoding.encode_ordinary(text[at: m.start()])
+            at = m.end() - (m.end() < len(text))
+            out += self.encoding._encode_single_piece(text[m.start(): at])
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
+    def ids(self, text: str) -> list[int]:
+        """Ids of a text; special strings become theirs."""
+        if not LONG_SPACE.search(text):
+            return self.encoding.encode(text, allowed_special="all")
+        out = []
+        for part in re.split("(" + "|".join(map(re.escape, self.special)) + ")", text) if self.special else [text]:
+            out += [self.special[part]] if part in self.special else self.plain_ids(part)
+        return out
+
     def _encode_fragment(self, fragment: bytes) -> bytes:
-        ids = np.array(self.encoding.encode_ordinary(fragment.decode("utf-8")), np.uint32).astype("<u4").tobytes()
+        ids = np.array(self.plain_ids(fragment.decode("utf-8")), np.uint32).astype("<u4").tobytes()
         if len(fragment) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_ENTRIES:
                 self.memo.clear()

@@ -65,6 +65,35 @@ def test_forced_boundaries_fuzz(byte_library):
         assert own.decode(own.encode(text.encode())) == byte_library.decode(ids, skip_special_tokens=False)
 
 
+LONG = {"inside": lambda c, n: "a" + c * n + "x", "after a space": lambda c, n: "a " + c * n + " x", "at the end": lambda c, n: "a" + c * n, "alone": lambda c, n: c * n,
+        "before a special string": lambda c, n: c * n + "<|endoftext|>" + c * n + "'s", "twice": lambda c, n: c * n + "é" + c * n + "."}
+
+
+@pytest.mark.parametrize("where", LONG)
+@pytest.mark.parametrize("char", [" ", "\t", "\n", "\u00a0", "\r\n"])
+def test_long_white_space(byte_library, char, where):
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    for n in (4095, 4096, 4097, 300_000):
+        text = LONG[where](char, n)
+        ids = byte_library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(vocabulary.encode(text.encode()), "<u4").tolist() == ids
+        assert vocabulary.ids(text) == ids
+        if n == 4096:
+            assert token_counts.count_spliced(vocabulary, text, 1000, 16) == len(ids)
+
+
+def test_two_million_white_spaces_through_spark(spark, byte_library, word_library):
+    texts = ["a" + c * 2_000_000 + "x" for c in (" ", "\t", "\n", "\u00a0")] + [" " * 2_000_000, "z" * 1_000_000, "!" * 1_000_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = [encoded(byte_library, t) for t in texts[:5]]
+    got = {r["doc_id"]: tuple(r)[1:] for r in bpe.digests(df).collect()}
+    assert [got[i] for i in range(5)] == want
+    assert all(got[i][2] == sha(t.encode()) for i, t in enumerate(texts))   # the library takes minutes for the last two
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(df, 512).collect()}
+    assert counts == {i: g[0] for i, g in got.items()}
+    check_packing(packing.pack(df.filter("doc_id < 5")).collect(), list(enumerate(texts[:5])), word_library)
+
+
 def test_decoding_of_broken_characters(byte_library):
     own = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     rng = random.Random(4)
