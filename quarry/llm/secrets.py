@@ -1,4 +1,9 @@
-"""Secret scanning: pattern matches plus sliding-window entropy over candidate strings."""
+"""Secret scanning: pattern matches plus sliding-window entropy over candidate strings.
+
+Candidates are cut at separators, so what stands beside a key in a path, an address or an
+assignment neither hides it nor goes with it. Random strings of letters of one case alone are not
+told from words and are not looked for.
+"""
 
 from __future__ import annotations
 
@@ -20,12 +25,21 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
-# entropy: per character class the candidate pattern, the window and the bits a window must reach
-CLASSES = {"entropy_hex": (re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])"), 20, 3.0),
-           "entropy_base64": (re.compile(r"[A-Za-z0-9+/_=-]{24,}"), 24, 4.0)}
-#: Candidates that are no secrets: one kind of letter only, dictionary-like, paths, separators, UUID zeros, examples.
-ALLOW = (re.compile(r"[A-Z]*[a-z]*[0-9]?"), re.compile(r"[^0-9]*"), re.compile(r"[0-9_=/+-]*"),
-         re.compile(r"(?:[A-Za-z]+[-_/=+]+)+[A-Za-z]*[0-9]{0,4}"), re.compile(r"(?i).*(?:example|sample|dummy|placeholder|xxxx|1234567890|abcdef).*"))
+# entropy: a run of the characters of keys is cut at its separators into pieces; a candidate is an irregular
+# piece, or several that separators of base64 join
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")    # a word, an acronym or a number
+CANDIDATE_CHARS, SHORT_CHARS = 20, 3
+#: Per character class: the candidates it holds, its alphabet's size, and the share of the bits that a
+#: window of ``WINDOW`` characters could have at most which a secret's must reach.
+WINDOW = 20
+CLASSES = {"entropy_hex": (re.compile(r"(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+"), 16, 0.68), "entropy_base64": (re.compile(r"[A-Za-z0-9+/_-]+"), 64, 0.72)}
+PARTS_SHARE, PARTS_LEAST = 0.29, 4   # an irregular piece has as many parts a character, or as many in all if of a single case
+#: Pieces that are no secrets: examples and counted-up digits or letters.
+ALLOW = (re.compile(r"(?i).*(?:example|sample|dummy|placeholder|xxxx|1234567890|abcdef).*"),)
+#: Runs that are no secrets: universally unique ids.
+ALLOW_RUN = (re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),)
 
 
 def window_entropy(s: str, width: int) -> float:
@@ -64,14 +78,41 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def irregular(piece: str) -> bool:
+    """Whether letters and digits change within a piece as they don't in words, numbers and names put together.
+    Letters of one case alone never do."""
+    parts = len(PART.findall(piece))
+    return parts >= PARTS_SHARE * len(piece) or (parts >= PARTS_LEAST and piece in (piece.lower(), piece.upper()))
+
+
+def candidates(run: str, allow: tuple[re.Pattern, ...] = ALLOW) -> list[tuple[int, int]]:
+    """(start, end) of the candidate strings of a run: irregular pieces that no allow-list pattern covers,
+    joined where one separator, or a short piece between two, stands between them."""
+    out: list[list[int]] = []
+    for m in PIECE.finditer(run):
+        if len(m[0]) <= SHORT_CHARS:   # too short to tell; it may join its neighbours
+            continue
+        if not irregular(m[0]) or any(a.fullmatch(m[0]) for a in allow):
+            continue
+        if out and m.start() - out[-1][1] <= SHORT_CHARS + 2 and not any(len(x) > SHORT_CHARS for x in PIECE.findall(run[out[-1][1]: m.start()])):
+            out[-1][1] = m.end()
+        else:
+            out.append([m.start(), m.end()])
+    return [(a, b) for a, b in out if b - a >= CANDIDATE_CHARS]
+
+
 def entropy_spans(text: str, allow: tuple[re.Pattern, ...] = ALLOW, classes: dict | None = None) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of candidate strings with a window of high entropy that no allow-list
-    pattern covers in full."""
+    """(start, end, kind) of the candidates with a window of high entropy for their character class."""
     out = []
-    for kind, (pattern, width, bits) in (classes or CLASSES).items():
-        for m in pattern.finditer(text):
-            if not any(a.fullmatch(m[0]) for a in allow) and window_entropy(m[0], width) >= bits:
-                out.append((m.start(), m.end(), kind))
+    for run in RUN.finditer(text):
+        if any(a.fullmatch(run[0]) for a in ALLOW_RUN):
+            continue
+        for a, b in candidates(run[0], allow):
+            found = run[0][a:b]
+            kind = next(k for k, (pattern, _, _) in (classes or CLASSES).items() if pattern.fullmatch(found))
+            _, symbols, share = (classes or CLASSES)[kind]
+            if window_entropy(found, WINDOW) >= share * math.log2(min(WINDOW, symbols)):
+                out.append((run.start() + a, run.start() + b, kind))
     return out
 
 
@@ -83,8 +124,6 @@ def scan_text(text: str, allow: tuple[re.Pattern, ...] = ALLOW) -> tuple[list, l
     for start, end, _ in [*base, (len(text), len(text), "")]:
         extra += [(s + at, e + at, kind) for s, e, kind in entropy_spans(text[at:start], allow)]
         at = max(at, end)
-    hexes = {x[:2] for x in extra if x[2] == "entropy_hex"}
-    extra = [x for x in extra if x[2] == "entropy_hex" or x[:2] not in hexes]
     return base, sorted(base + extra, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
