@@ -6,6 +6,7 @@ import html
 import random
 import re
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 
 TRAINING_PAGES = 1000   # labelled pages the model is fitted on (written by ``labelled_pages``)
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*+)>|<[!?][^>]*(?:>|\Z)|([^<]+)|<""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=]*)(\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 NAME = re.compile(r"[a-z]+|[0-9]+")
-UNSEEN = frozenset("script style template noscript iframe object svg math head title textarea select canvas audio video".split())
+# fixed values: elements whose content is characters up to their closing tag, elements that are not shown, and others by their part in a page
+RAW = frozenset("script style title textarea iframe".split())
+HIDDEN = frozenset("template noscript object svg math select canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer "
                   "form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre search section summary table tbody td "
@@ -32,17 +35,104 @@ SECTIONS = frozenset("article main section aside nav header footer form dialog".
 class LeafBlock:
     """Text between two block boundaries with what stands above it."""
     text: str
-    path: tuple[str, ...]
+    tags: frozenset[str]
+    near: str
     names: frozenset[str]
     leaf: str
     linked: int
 
 
-def leaf_blocks(page: str) -> list[LeafBlock]:
-    """The leaf blocks of a page in order. Broken markup is read as far as it goes: unclosed
-    elements end with the element around them, closing tags without an opening one are ignored."""
+@dataclass(slots=True)
+class _Node:
+    """An open element and what its ancestors and itself come to; equal sets are shared."""
+    tag: str
+    tags: frozenset[str]
+    names: frozenset[str]
+    leaf: str
+    near: str
+    hidden: bool
+
+
+def _attribute_words(page: str, at: int) -> tuple[int, str]:
+    """(position behind a tag that goes on at ``at``, words of its class, id and role). Quotes count
+    around a value only; one that no other follows is a character."""
+    words = []
+    while True:
+        m = ATTRIBUTE.match(page, at)
+        end = m.end()
+        if m[2] and m[1].lower() in ("class", "id", "role"):
+            words.append(m[3] or m[4] or m[5] or "")
+        if end == at or end >= len(page):   # no attribute here: the tag ends
+            close = page.find(">", end)
+            return (close + 1 if close >= 0 else len(page)), " ".join(words)
+        at = end
+        if page[at] == ">":
+            return at + 1, " ".join(words)
+
+
+def _tokens(page: str):
+    """(kind, name or text, attribute words) of a page in one pass; kinds are "text", "open" and "close".
+    Comments, declarations and the content of raw elements are left out."""
+    at, n, last_end = 0, len(page), page.rfind(">")
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0 or lt > last_end and not page.startswith("<!--", lt):   # no tag can end any more
+            yield "text", page[at:], ""
+            return
+        if lt > at:
+            yield "text", page[at:lt], ""
+        following = page[lt + 1: lt + 2]
+        if following in ("!", "?"):
+            end = page.find("-->", lt + 4) if page.startswith("<!--", lt) else page.find(">", lt)
+            at = n if end < 0 else page.index(">", end) + 1
+            continue
+        m = TAG_NAME.match(page, lt + 1 + (following == "/"))
+        if m is None:
+            yield "text", "<", ""
+            at = lt + 1
+            continue
+        tag = m[0].lower()
+        if following == "/":
+            end = page.find(">", m.end())
+            at = n if end < 0 else end + 1
+            yield "close", tag, ""
+            continue
+        at, words = _attribute_words(page, m.end())
+        shut = page[at - 2: at] == "/>"
+        if tag in RAW:
+            if not shut:
+                end = _raw_end(tag).search(page, at)
+                at = end.end() if end else n
+            continue
+        yield ("empty" if shut else "open"), tag, words
+
+
+@lru_cache(None)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>?|</{tag}\Z", re.I)
+
+
+def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[LeafBlock]:
+    """The leaf blocks of a page in order. Broken markup is read as far as it goes: unclosed elements
+    end with the element around them, closing tags without an opening one are ignored, and an
+    element that would be hidden but is never closed hides nothing. Of ancestor tags and names only
+    those in ``known`` are kept, where it is given. Takes time in proportion to the page."""
+    tokens = list(_tokens(page))
+    closed: set[int] = set()      # the hidden elements that are closed somewhere
+    waiting: dict[str, list[int]] = {}
+    for i, (kind, tag, _) in enumerate(tokens):
+        if kind == "open" and tag in HIDDEN:
+            waiting.setdefault(tag, []).append(i)
+        elif kind == "close" and waiting.get(tag):
+            closed.add(waiting[tag].pop())
+
     blocks: list[LeafBlock] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    top = _Node("", frozenset(), frozenset(), "", "", False)
+    stack: list[_Node] = [top]
+    # places in the stack, by tag and by kind
+    places: dict[str, list[int]] = {}
+    kinds = {"block": BLOCK, "scope": SCOPE, "own": SCOPE - {"div"}}
+    of_kind: dict[str, list[int]] = {k: [] for k in kinds}
     parts: list[str] = []
     linked = 0
 
@@ -51,62 +141,70 @@ def leaf_blocks(page: str) -> list[LeafBlock]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                leaf = next((t for t, _ in reversed(stack) if t in BLOCK), "")
-                blocks.append(LeafBlock(text, tuple(t for t, _ in stack), frozenset().union(*(n for _, n in stack)), leaf, linked))
+                here = stack[-1]
+                blocks.append(LeafBlock(text, here.tags, here.near, here.names, here.leaf, linked))
             parts.clear()
         linked = 0
 
-    def close(tags: tuple[str, ...], inside: frozenset[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                del stack[i:]
-                return
-            if stack[i][0] in inside:
-                return
-
-    at, n = 0, len(page)
-    while at < n:
-        m = TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            text = m[4] or (m[0] if m[0] == "<" else "")
-            if text:
-                text = html.unescape(text)
+    def push(tag: str, words: str, hidden: bool) -> None:
+        above = stack[-1]
+        own = frozenset(w.rstrip("s") or w for w in NAME.findall(words.lower())) if words else above.names
+        if known is not None:
+            own &= known
+        place = len(stack)
+        places.setdefault(tag, []).append(place)
+        for kind, members in kinds.items():
+            if tag in members:
+                of_kind[kind].append(place)
+        fresh = tag not in above.tags and (known is None or tag in known)
+        stack.append(_Node(tag, above.tags | {tag} if fresh else above.tags, above.names if own <= above.names else above.names | own,
+                           tag if tag in BLOCK else above.leaf, tag if tag in SECTIONS else above.near, above.hidden or hidden))
+
+    def close(tags: tuple[str, ...], kind: str | None) -> None:
+        """Ends the last open element of ``tags``, unless one of ``kind`` is open inside it."""
+        place = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if not place or kind and of_kind[kind] and of_kind[kind][-1] > place:
+            return
+        while len(stack) > place:
+            tag = stack.pop().tag
+            places[tag].pop()
+            for kind, members in kinds.items():
+                if tag in members:
+                    of_kind[kind].pop()
+
+    for i, (kind, tag, words) in enumerate(tokens):
+        if kind == "text":
+            if not stack[-1].hidden:
+                text = html.unescape(tag)
                 parts.append(text)
-                if any(t == "a" for t, _ in stack):
+                if places.get("a"):
                     linked += len(text.strip())
             continue
-        tag = tag.lower()
-        if m[1]:
+        if kind == "close":
             if tag in BLOCK:
                 flush()
-                if any(t == tag for t, _ in stack):
-                    close((tag,), frozenset())
+                close((tag,), None)
             else:
-                close((tag,), BLOCK)
+                close((tag,), "block" if tag not in HIDDEN else None)
             continue
-        if tag in UNSEEN:
-            if tag == "head":
-                continue
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
-                at = end.end() if end else n
+        if tag == "head":
             continue
         if tag == "br":
-            parts.append(" ")
+            if not stack[-1].hidden:
+                parts.append(" ")
+            continue
+        if tag in HIDDEN:
+            if i in closed:
+                push(tag, words, True)
             continue
         if tag in BLOCK:
             flush()
             if tag in CLOSES_P:
-                close(("p",), SCOPE)
+                close(("p",), "scope")
             if tag in SAME_CLOSES:
-                close(SAME_CLOSES[tag], SCOPE - {"div"})
-        if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK):
-            names = frozenset()
-            if m[3]:
-                names = frozenset(w.rstrip("s") or w for a in ATTRIBUTE.finditer(m[3]) for w in NAME.findall((a[2] or a[3] or a[4] or "").lower()))
-            stack.append((tag, names))
+                close(SAME_CLOSES[tag], "own")
+        if tag not in VOID and not (kind == "empty" and tag not in BLOCK):
+            push(tag, words, False)
     flush()
     return blocks
 
@@ -124,8 +222,8 @@ def block_features(blocks: list[LeafBlock]) -> list[list[str]]:
         f = ["bias", f"leaf={b.leaf}", f"size={_bucket(size, (10, 25, 60, 120, 250))}", f"link={_bucket(int(density * 100), (1, 30, 60, 90))}",
              f"ends={t[-1] if t[-1] in '.!?:;,' else 'x'}", f"commas={min(t.count(','), 3)}", f"words={_bucket(t.count(' ') + 1, (2, 4, 8, 16, 40))}",
              f"where={min(4 * i // max(total, 1), 3)}"]
-        f.append(f"near={next((x for x in reversed(b.path) if x in SECTIONS), '')}")
-        f += [f"in={x}" for x in set(b.path)]
+        f.append(f"near={b.near}")
+        f += [f"in={x}" for x in b.tags]
         f += [f"name={x}" for x in b.names]
         if "©" in t or "|" in t or "»" in t or "·" in t:
             f.append("signs")
@@ -291,6 +389,11 @@ class Crf:
     start: list[float]
     pairs: list[list[float]]
 
+    @cached_property
+    def known(self) -> frozenset[str]:
+        """Ancestor tags and names that have a weight; no other one changes a label."""
+        return frozenset(x.split("=", 1)[1] for x in self.weights if x.startswith(("in=", "name=")))
+
     def decode(self, features: list[list[str]]) -> list[int]:
         """The most probable labels (Viterbi)."""
         get, (t00, t01), (t10, t11) = self.weights.get, self.pairs[0], self.pairs[1]
@@ -365,8 +468,14 @@ def train(pages: list[tuple[list[LeafBlock], list[int]]], steps: int = 120, rate
     return Crf({x: float(theta[i]) for x, i in names.items()}, theta[-6:-4].tolist(), theta[-4:].reshape(2, 2).tolist())
 
 
+@lru_cache(2)
+def trained(pages: int) -> Crf:
+    """The model of so many written pages, fitted once a process."""
+    return train(labelled_pages(pages))
+
+
 def main_text(page: str | None, model: Crf) -> str:
-    blocks = leaf_blocks(page or "")
+    blocks = leaf_blocks(page or "", model.known)
     return " ".join(b.text for b, label in zip(blocks, model.decode(block_features(blocks)), strict=True) if label)
 
 
@@ -377,7 +486,7 @@ def extract_main_text(pages: DataFrame, model: Crf | None = None, id_col: str =
     Null or empty html, or html without main text, gives an empty text. Null ids and urls,
     repeated rows and pages of any length are kept; other columns play no part.
     """
-    fitted = model or train(labelled_pages(TRAINING_PAGES))
+    fitted = model or trained(TRAINING_PAGES)
 
     def run(batches):
         for batch in batches:

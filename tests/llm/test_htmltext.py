@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -46,6 +47,11 @@ CASES = {
     "<html><body><header><h2>Site</h2></header><nav><a href=/>Home</a></nav><article><h1>Title &amp; more</h1><p>First  para\n with <b>bold</b>face.<p>Second &lt;one&gt;.</article>"
     "<aside><p>Side note here.</p></aside><section class=comments><p>Nice post!</p></section><form><label>Name</label></form><footer>&copy; me</footer></body></html>":
         "Title & more First para with boldface. Second <one>.",
+    "<body><video src=x><article><h1>Seen</h1><p>An article, behind a film.</p></article>": "Seen An article, behind a film.",
+    "<body><div><object data=x></div><article><p>One, two and three.</p><svg><svg></svg><text>inner</text></svg><p>Four, then five.</p></article>": "One, two and three. Four, then five.",
+    "<article><p don't>First, it was.</p><p>It's the second one, here.</p></article>": "First, it was. It's the second one, here.",
+    "<article><noscript><p>Turn it on, please.</p></noscript><p>Some words of text, here.</p><select><option>One</option></select></article>": "Some words of text, here.",
+    "<article><p class=\"a>b\" title='<p>x</p>'>Words, with marks.</p><textarea><p>no</p></textarea></article>": "Words, with marks.",
     "<body><div class='cookie-notice'><p>We use cookies.</p><button>OK</button></div><main><h1>News</h1><p>It happened today, they said.</p><script>var a='<p>no</p>';</script>"
     "<style>p{}</style><div class=ad>Buy now!</div><p>More of it.</p></main><div id=comments><div class=comment><p>First!</p></div></div><div class=footer>Imprint</div>":
         "News It happened today, they said. More of it.",
@@ -68,6 +74,26 @@ def test_awkward_pages(spark, model):
     assert htmltext.extract_main_text(df.limit(0), model).collect() == []
 
 
+HOSTILE = {"tags without an end": "<a " * 330_000, "nested": "<div>" * 200_000, "nested, all names different": "".join(f"<div class=x{i}>t" for i in range(60_000)),
+           "closed by another": "<b>" * 150_000 + "</i>" * 150_000, "closed outside": "<i><div>" + "<b>" * 150_000 + "</i>" * 150_000, "quotes": "<p title=\"" * 100_000 + "'>",
+           "hidden": "<svg>" * 100_000 + "</svg>" * 100_000, "never closed": "<video>" * 140_000 + "x", "comments": "<!--" * 250_000, "references": "&" * 1_000_000,
+           "cells": "<td>x" * 150_000, "tags all different": "".join(f"<t{i}>u" for i in range(90_000)), "brackets": "<" * 1_000_000}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_linear_time(model, name):
+    began = time.process_time()
+    htmltext.main_text(HOSTILE[name], model)
+    assert time.process_time() - began < 15
+
+
+def test_known_names_do_not_change_labels(model):
+    for p in table("pages")[:100]:
+        every, some = htmltext.leaf_blocks(p["html"]), htmltext.leaf_blocks(p["html"], model.known)
+        assert [b.text for b in every] == [b.text for b in some]
+        assert model.decode(htmltext.block_features(every)) == model.decode(htmltext.block_features(some))
+
+
 def test_viterbi_is_the_best_path(model):
     from itertools import product
     for blocks, _ in htmltext.labelled_pages(15, seed=5):
