@@ -9,24 +9,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm._common import row_groups, text_buffer
+from quarry.llm._common import materialize, row_groups, text_buffer
 
 PROFILE = 400     # n-grams of a profile: the most frequent ones of a language or document
 MAX_N = 3
 SLICE = 1 << 20   # code points counted at a time
 UNDETERMINED = "und"
+#: A text is in no learned language if it scores less than this share of what all but the worst labelled texts score.
+FLOOR_SHARE, FLOOR_WORST, FLOOR_BINS = 0.6, 0.001, 1000
+
+
+BASE = 0x110000   # an n-gram's code has a digit of this base for each symbol, and one for its size before them
 
 
 @lru_cache(1)
 def _symbols() -> np.ndarray:
-    """For every code point its symbol (0: no letter). Letters are lower-cased; those below U+0400
-    keep symbols of their own, later ones share 10 bits."""
-    symbol = np.zeros(0x110000, np.uint16)
-    for c in range(0x110000):
+    """For every code point its symbol: the lower-cased letter, 0 for anything else."""
+    symbol = np.zeros(BASE, np.int64)
+    for c in range(BASE):
         ch = chr(c)
         if ch.isalpha():
-            low = ord(ch.lower()[0])
-            symbol[c] = low if low < 0x400 else 1 + low % 1023
+            symbol[c] = ord(ch.lower()[0])
     return symbol
 
 
@@ -35,23 +38,23 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     word carries one blank on either side. Long texts are counted slice by slice."""
     symbol = _symbols()
     parts = []
-    carry = np.zeros(1, np.uint16)
+    carry = np.zeros(1, np.int64)
     if not text:
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     for lo in range(0, len(text), SLICE):
         cps = np.frombuffer(text[lo: lo + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)
         s = np.concatenate([carry, symbol[cps]])
         if lo + SLICE >= len(text):
-            s = np.append(s, np.uint16(0))
-        s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])].astype(np.uint32)  # runs of blanks are one
+            s = np.append(s, 0)
+        s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]  # runs of blanks are one
         # grams that end in this slice; the symbols carried over begin some of them
         own = len(carry)
         one = s[own:]
-        two = (s[:-1] << np.uint32(10) | s[1:])[own - 1:]
-        three = s[:-2] << np.uint32(20) | s[1:-1] << np.uint32(10) | s[2:]
+        two = (s[:-1] * BASE + s[1:])[own - 1:]
+        three = (s[:-2] * BASE + s[1:-1]) * BASE + s[2:]
         one = one[one != 0]
-        parts.append(np.unique(np.concatenate([one | np.uint32(1 << 30), two | np.uint32(1 << 31), three]), return_counts=True))
-        carry = s[-2:].astype(np.uint16)
+        parts.append(np.unique(np.concatenate([one + BASE**3, two + 2 * BASE**3, three]), return_counts=True))
+        carry = s[-2:]
     if len(parts) == 1:
         return parts[0]
     return _merged(parts)
@@ -92,7 +95,8 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).dropna()
     counts = rows.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("lang").orderBy(F.col("n").desc(), "code")
-    return (counts.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < size).select("lang", "code", "place"))
+    ranked = counts.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= size)   # Spark limits each task's groups first
+    return ranked.select("lang", "code", (F.col("place") - 1).alias("place"))
 
 
 class Profiles:
@@ -101,7 +105,7 @@ class Profiles:
     def __init__(self, rows: list[tuple[str, int, int]], size: int):
         self.size = size
         self.langs = sorted({r[0] for r in rows})
-        self.codes = np.array(sorted({r[1] for r in rows}), np.uint32)
+        self.codes = np.array(sorted({r[1] for r in rows}), np.int64)
         self.places = np.full((len(self.langs), len(self.codes) + 1), -1, np.int32)  # the last column: no such n-gram
         for lang, code, place in rows:
             self.places[self.langs.index(lang), np.searchsorted(self.codes, code)] = place
@@ -168,3 +172,30 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
     return predict_languages(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def score_floor(scored: DataFrame, lang_col: str = "lang", pred_col: str = "lang_pred", score_col: str = "score",
+                share: float = FLOOR_SHARE, worst: float = FLOOR_WORST) -> float:
+    """The score below which a text is taken to be in none of the learned languages: ``share`` of the score
+    that all but ``worst`` of the labelled texts reach. It comes from a histogram of all labelled rows,
+    so the driver gets ``FLOOR_BINS`` + 1 counts; 0 without a labelled row."""
+    rows = scored.filter(F.col(lang_col).isNotNull() & (F.col(pred_col) != UNDETERMINED))
+    bins = sorted((r["bin"], r["count"]) for r in rows.groupBy(F.floor(F.col(score_col) * FLOOR_BINS).alias("bin")).count().collect())
+    left = worst * sum(n for _, n in bins)
+    for at, n in bins:
+        if left < n:
+            return share * at / FLOOR_BINS
+        left -= n
+    return 0.0
+
+
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> DataFrame:
+    """The rows of ``docs`` that are in a language it has profiles of, learned from its rows not held out: texts
+    that are null, have no letter or score below ``score_floor`` are left out. Every row is scored once;
+    the scored rows are written, as the floor follows from all of them."""
+    held = training_rows(docs, id_col)
+    profiles = collect_profiles(learn_profiles(docs.filter(~held), text_col, lang_col, size), size)
+    body = docs.withColumn("__body", F.col("`" + text_col.replace("`", "``") + "`").cast("string"))
+    scored = materialize(predict_languages(body, profiles, "__body", "__pred", "__score"), "scored")
+    floor = score_floor(scored, lang_col, "__pred", "__score")
+    return scored.filter((F.col("__pred") != UNDETERMINED) & (F.col("__score") >= floor)).drop("__pred", "__score")
