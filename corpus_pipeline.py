@@ -1,6 +1,6 @@
 """A corpus pipeline of four stages over ``documents``.
 
-Language ID rejects documents whose language cannot be told, near-dedup keeps one document of each
+Language ID rejects documents that are in no learned language, near-dedup keeps one document of each
 group, the secret scan redacts, and packing gives the pieces of training sequences. Each stage's
 result is written as Parquet in the shared folder and read again as the next one's input.
 """
@@ -11,27 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import langid, near_dedup, packing, secrets
-from quarry.llm._common import scratch_path, table
+from quarry.llm._common import materialize, scratch_path, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns the profiles from the documents not held out and keeps every document with a language;
-    null texts, and texts without a letter, go."""
-    profiles = langid.collect_profiles(langid.learn_profiles(docs.filter(~langid.training_rows(docs))))
-    return langid.predict_languages(docs.select(*COLUMNS, F.col("text").alias("__body")), profiles, text_col="__body").filter(
-        F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
+    """Learns the profiles from the documents not held out and keeps the documents in one of their languages;
+    null texts, texts without a letter and texts whose rank-order score is below the floor that the
+    labelled documents set (``langid.score_floor``) go."""
+    return langid.identified(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8) stays, the one
-    of the smallest id; of rows that repeat an id one stays. Rows without an id stay."""
-    classes = near_dedup.near_duplicates(docs)
-    gone = classes.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id is null"))
+    of the smallest id. Rows are told apart by a number of their own, not by their ids: rows that
+    share an id, or have none, go if their texts are linked and stay if they are not; of equal rows
+    one stays."""
+    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    classes = near_dedup.near_duplicates(rows, id_col="row").filter("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
+    several = materialize(classes.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
+                          .join(classes, "component_id").join(rows.select("row", "doc_id"), "row"), "several")
+    stays = several.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
+    gone = several.join(stays.select("row"), "row", "left_anti").select("row")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
