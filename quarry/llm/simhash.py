@@ -12,7 +12,7 @@ from quarry.llm._common import materialize
 BITS = 64
 LANES = 0x0000000100000001      # two 32-bit counters in one long
 BLOCK_BITS = (11, 11, 11, 11, 10, 10)
-DOCS_PER_BLOCK, MAX_BLOCKS = 2000, 100_000
+DOCS_PER_BLOCK, MAX_BLOCKS, SPLITS = 2000, 1_000_000, 4
 
 
 def _with_terms(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
@@ -93,22 +93,54 @@ def search(fps: DataFrame, queries: DataFrame, radius: int = 3, fp_col: str = "f
     return near.select("query_fp", "fp", distance.cast("int").alias("distance")).filter(F.col("distance") <= radius).distinct()
 
 
+def _text_place(text: Column) -> Column:
+    """A number that falls as texts rise: of their first six bytes."""
+    return -F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+
+
+def _blocked(d: DataFrame, docs_per_block: int) -> DataFrame:
+    """(doc_id, text) with ``block``, an array of numbers whose descending order is that of the documents.
+
+    Ids are cut into blocks of equal width first, null ids being one block. A block with too many
+    rows is cut again by the width of its own ids, or of its texts' first bytes where it has one id,
+    so neither a far-out id nor dense runs, repeated or null ids fill a block. Only counts are
+    taken for it, from the id column or a few bytes of the texts; the blocks that are cut (at most
+    ``MAX_BLOCKS`` in a round) are broadcast to the rows.
+    """
+    x, y = F.col("doc_id").cast("double"), _text_place(F.col("text"))
+    span = d.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    lo, per_block = span["lo"] or 0.0, max(docs_per_block, -(-span["n"] // MAX_BLOCKS))
+    width = max(((span["hi"] or 0.0) - lo) / max(1, -(-span["n"] // per_block)), 1.0)
+    d = d.withColumn("block", F.array(F.coalesce(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(-1)).cast("long")))
+    for _ in range(SPLITS):
+        sizes = d.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1")).filter(F.col("n") > 2 * per_block)
+        wide = sizes.filter("x0 < x1").select("block", "n", F.lit(True).alias("by_id"), F.col("x0").alias("start"), F.col("x1").alias("end"))
+        flat = (d.join(F.broadcast(sizes.filter("x0 is null or x0 >= x1").select("block")), "block", "left_semi")
+                .groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(y).alias("start"), F.max(y).alias("end"))
+                .select("block", "n", F.lit(False).alias("by_id"), "start", "end").filter("start < end"))
+        cut = materialize(wide.unionByName(flat).select(F.col("block").alias("of"), "by_id", "start", F.ceil(F.col("n") / per_block).alias("parts"),
+                          ((F.col("end") - F.col("start")) / F.ceil(F.col("n") / per_block)).alias("width")), "cut")
+        if not cut.limit(1).count():
+            break
+        part = F.least(F.floor((F.when(F.col("by_id"), x).otherwise(y) - F.col("start")) / F.col("width")).cast("long"), F.col("parts") - 1)
+        d = (d.join(F.broadcast(cut), F.col("block") == F.col("of"), "left")
+             .withColumn("block", F.concat("block", F.array(F.coalesce(part, F.lit(0).cast("long"))))).select("doc_id", "text", "block"))
+    return d
+
+
 def successor_texts(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """(block, row, extra, doc_id, text, next_id, next_text) with the next document in descending id order;
-    after the last comes the first. Texts are shuffled once: ids are cut into blocks of equal
-    width, each block gets the following block's first document as a row with ``extra`` = 1, and ``lead``
-    works inside blocks. The blocks' first ids (at most ``MAX_BLOCKS``) are the only broadcast."""
+    after the last comes the first. Texts are shuffled once: ids are cut into blocks by rows, each
+    block gets the following block's first document as a row with ``extra`` = 1, and ``lead`` works
+    inside blocks. What is broadcast has a row per block, of which there are a few ``MAX_BLOCKS`` at most."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    span = d.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).first()
-    lo, hi = span["lo"] or 0, span["hi"] or 0
-    blocks = max(1, min(MAX_BLOCKS, -(-span["n"] // docs_per_block)))
-    width = max(1, -(-(hi - lo + 1) // blocks))
-    d = d.withColumn("block", F.coalesce(F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)), F.lit(0)).cast("long"))
-    heads = d.groupBy("block").agg(F.max("doc_id").alias("head"))
-    down = Window.orderBy(F.col("block").desc())  # over at most MAX_BLOCKS rows
+    d = _blocked(d, docs_per_block)
+    place = _text_place(F.col("text"))
+    heads = d.groupBy("block").agg(F.max(F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), place.alias("place"))).alias("head"))
+    down = Window.orderBy(F.col("block").desc())  # over the blocks
     # a block's head follows the last document of the block above it; the top block's, the lowest one's
-    pairs = heads.select("head", F.coalesce(F.lag("block").over(down), F.min("block").over(Window.partitionBy())).alias("target"))
-    extra = (d.join(F.broadcast(pairs), d["doc_id"].eqNullSafe(pairs["head"]))
+    pairs = heads.select("head", F.coalesce(F.lag("block").over(down), F.min("block").over(Window.partitionBy())).alias("target"), F.col("block").alias("of"))
+    extra = (d.join(F.broadcast(pairs), (F.col("block") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (place == F.col("head.place")))
              .select("doc_id", "text", F.col("target").alias("block"), F.lit(1).alias("extra")))
     rows = d.select("doc_id", "text", "block", F.lit(0).alias("extra")).unionByName(extra)
     w = Window.partitionBy("block").orderBy("extra", F.col("doc_id").desc_nulls_last(), "text")

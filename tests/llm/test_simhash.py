@@ -64,6 +64,21 @@ def test_successors_across_blocks(spark, per_block):
     assert all(r["next_text"] == f"text {r['next_id']}" for r in rows)
 
 
+def test_blocks_are_sized_by_rows(spark):
+    """A far-out id, dense runs, null ids and repeated ones fill no block; the order stays."""
+    texts = lambda n, at: [(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} text {at}{k}") for k in range(n)]
+    rows = [(i, f"t{i}") for i in range(3000)] + [(10**12, "far"), (-(1 << 62), "farther")] + [(10**9 + 7 * i, f"u{i}") for i in range(700)]
+    rows += [(None, t) for t in texts(600, "n")] + [(5000, t) for t in texts(600, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = simhash.successor_texts(df, "doc_id", "text", 50).filter("extra = 0").collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert {(r["doc_id"], r["text"]): (r["next_id"], r["next_text"]) for r in out} == {a: order[(k + 1) % len(order)] for k, a in enumerate(order)}
+    sizes = {}
+    for r in out:
+        sizes[tuple(r["block"])] = sizes.get(tuple(r["block"]), 0) + 1
+    assert max(sizes.values()) <= 150, max(sizes.values())
+
+
 def test_awkward_documents(spark):
     want = edits([(r[0], r[1]) for r in AWKWARD])
     assert got(simhash.fingerprint_edits(awkward(spark)).collect()) == want
