@@ -37,7 +37,8 @@ def list_query_names(project: str | None = None) -> list[str]:
 def run_query(tables: Mapping[str, DataFrame], name: str, **params) -> DataFrame:
     """Run ``project.query`` over ``tables`` (table name -> DataFrame) with parameters.
 
-    The result is a lazy DataFrame: the caller collects, shows or writes it.
+    The caller collects, shows or writes the resulting DataFrame. Queries with percentiles, NTILE or a
+    model fit run jobs here, as their plans depend on what those find; all others are lazy.
     """
     project, _, query = name.partition(".")
     try:

@@ -11,9 +11,10 @@ from quarry.operators.groups import (  # noqa: F401
 from quarry.operators.growth import (  # noqa: F401
     cohort_activity, period_growth, repeat_rate, retention_pct, retention_triangle,
 )
-from quarry.operators.positions import group_quantiles, ntile_global, with_positions  # noqa: F401
+from quarry.operators.positions import ntile_global, with_positions  # noqa: F401
 from quarry.operators.ranking import top_k, topk_per_group  # noqa: F401
 from quarry.operators.reshape import (  # noqa: F401
     melt, missing_counts, pivot_wide, sentinel_share, table_profile, value_counts,
 )
 from quarry.operators.rfm import customer_rfm, rfm_summary  # noqa: F401
+from quarry.operators.selection import group_quantiles, ntiles  # noqa: F401

@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.exprs import sql_round
-from quarry.operators.positions import group_quantiles
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in by],
-                     *[c for c in right.columns if c not in by])
-    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in by]
-    return left.join(r, on=cond, how="inner").drop(*[f"_r_{c}" for c in by])
+from quarry.operators.selection import group_quantiles
 
 
 def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
@@ -24,26 +17,23 @@ def distribution_by_group(df: DataFrame, by: Sequence[str], value: str, *,
                           decimal_scale: int | None = None) -> DataFrame:
     """count, mean, median, q1, q3 and range (max - min) of ``value`` per group.
 
-    ``exact=True`` uses the distributed positional quantiles (no group held in
-    one task); ``exact=False`` uses ``percentile_approx`` (bounded sketch).
+    ``exact=True`` finds the quantiles by sketches and counts, in the scan that the
+    other statistics take and one more (no group held in one task); ``exact=False`` uses ``percentile_approx`` (bounded sketch).
     NULL values are ignored by every statistic but ``count``. ``decimal_scale``
     makes the quantile interpolation exact decimal (see ``group_quantiles``).
     """
     by = list(by)
     r = (lambda c: sql_round(c, digits)) if digits is not None else (lambda c: c)
     v = F.col(value)
-    basic = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count_name), F.avg(v).alias("_avg"),
-                                (F.max(v) - F.min(v)).alias("_range"))
-    if min_count is not None:
-        basic = basic.filter(F.col(count_name) >= min_count)
+    basic = [F.count(F.lit(1)).alias(count_name), F.avg(v).alias("_avg"), (F.max(v) - F.min(v)).alias("_range")]
     if exact:
-        q = group_quantiles(df, by, value, {"_med": 0.5, "_q1": 0.25, "_q3": 0.75},
-                            decimal_scale=decimal_scale)
+        out = group_quantiles(df, by, value, {"_med": 0.5, "_q1": 0.25, "_q3": 0.75}, decimal_scale=decimal_scale, aggs=basic)
     else:
-        q = df.groupBy(*by).agg(
-            F.percentile_approx(v, 0.5).alias("_med"), F.percentile_approx(v, 0.25).alias("_q1"),
+        out = df.groupBy(*by).agg(
+            *basic, F.percentile_approx(v, 0.5).alias("_med"), F.percentile_approx(v, 0.25).alias("_q1"),
             F.percentile_approx(v, 0.75).alias("_q3"))
-    out = _join_null_safe(basic, q, by)
+    if min_count is not None:
+        out = out.filter(F.col(count_name) >= min_count)
     if decimal_scale is not None and digits is not None:  # exact decimal: both engines agree
         rq = lambda c: F.round(F.col(c), digits).cast("double")
     else:
@@ -58,14 +48,13 @@ def group_outliers(df: DataFrame, by: Sequence[str], value: str, *, factor: floa
     """Rows whose ``value`` exceeds ``factor`` x their group's median
     (groups with at least ``min_count`` rows), with ``median_value`` and
     ``x_median`` = value / median. The per-group statistics side is one row per
-    group; adaptive execution broadcasts it where its measured bytes allow.
+    group; adaptive execution broadcasts it where its measured bytes allow, and
+    splits hot groups of the join where they don't. Rows of a NULL group are not
+    compared.
     """
     by = list(by)
-    med = group_quantiles(df, by, value, {"median_value": 0.5})
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
-    stats = _join_null_safe(med, sizes, by).drop("_n")
-    # one row per group: broadcast after a count, so a hot group never meets a
-    # shuffle join on the group key (and millions of groups fall back to one)
+    stats = (group_quantiles(df, by, value, {"median_value": 0.5}, aggs=[F.count(F.lit(1)).alias("_n")])
+             .filter(F.col("_n") >= min_count).drop("_n"))
     joined = df.join(stats, on=by, how="inner")
     return (joined.filter(F.col(value) > F.col("median_value") * F.lit(factor))
             .withColumn("x_median", sql_round(F.col(value) / F.col("median_value"), ratio_digits)))

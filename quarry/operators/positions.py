@@ -10,12 +10,15 @@ with the work spread over all partitions:
    the tie-break columns;
 2. sort within partitions and number rows locally
    (``monotonically_increasing_id`` = partition index << 33 | local index);
-3. cut lineage with a reliable ``checkpoint()`` so a lost executor cannot
+3. write the numbered rows to the shared folder so a lost executor cannot
    re-sample different range bounds and renumber rows;
 4. count rows per (partition, group) — at most #groups + #partitions rows —
    and turn the counts into offsets with a prefix sum;
-5. join the offsets back (a broadcast: of proven size without groups, after a
-   row count with groups): position = offset + local index within the group.
+5. join the offsets back (a broadcast of one row per partition without groups,
+   left to Spark with groups): position = offset + local index within the group.
+
+Where only quantiles or tiles are asked for, ``operators.selection`` finds them
+without sorting or writing the rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.operators import selection
+from quarry.session import written
 
 _LOCAL_BITS = 33
 
@@ -51,15 +55,12 @@ def with_positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (
     ``order`` is a list of sort expressions (e.g. ``F.col("x").desc_nulls_last()``);
     include a unique tie-break so the numbering is deterministic.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     by = list(by)
     keys = [F.col(c).asc_nulls_last() for c in by] + list(order)
     n = _num_partitions(df, num_partitions)
-    staged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    staged = written(df.repartitionByRange(n, *keys)
+                     .sortWithinPartitions(*keys)
+                     .withColumn("_mid", F.monotonically_increasing_id()), "positions")
     staged = (staged
               .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
               .withColumn("_li", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
@@ -80,7 +81,7 @@ def with_positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (
     cond = [staged["_pid"] == stats["_spid"]]
     cond += [staged[c].eqNullSafe(stats[g]) for c, g in zip(by, gnames)]
     # Without groups the stats side has one row per partition: a proven bound.
-    # With groups it has at most #groups + #partitions rows: broadcast after a count.
+    # With groups it has at most #groups + #partitions rows: left to Spark.
     right = F.broadcast(stats) if not by else stats
     joined = staged.join(right, on=cond, how="inner")
     return (joined
@@ -116,42 +117,5 @@ def ntile_global(df: DataFrame, k: int, order: Sequence[Column], out_col: str,
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
                     num_partitions: int | None = None, decimal_scale: int | None = None) -> DataFrame:
-    """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group.
-
-    Only the (at most two) rows around each requested position leave the
-    positioned frame, so no group is ever held in one task's memory.
-    Returns ``by`` + one column per entry of ``probs``; NULL values are ignored.
-    With ``decimal_scale`` (e.g. 2 for money) the interpolation runs in exact
-    decimal arithmetic and the result is a DECIMAL, so a midpoint such as
-    x.xx5 is not blurred by binary floating point before it is rounded.
-    """
-    by = list(by)
-    v = F.col(value)
-    if decimal_scale is not None:
-        v = v.cast(f"decimal(28,{decimal_scale})")
-    base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
-    # row_id-free tie-break: equal values are interchangeable for a quantile,
-    # but the range sort still needs a total order to spread a hot value.
-    base = base.withColumn("_rid", F.monotonically_increasing_id())
-    pos = with_positions(base, [F.col("_v").asc(), F.col("_rid").asc()], by=by,
-                         num_partitions=num_partitions)
-    n1 = F.col("_n") - F.lit(1)
-    wanted = None
-    aggs = []
-    for name, p in probs.items():
-        h = n1 * F.lit(float(p))
-        lo, hi = F.floor(h) + F.lit(1), F.ceil(h) + F.lit(1)
-        hit = (F.col("_pos") == lo) | (F.col("_pos") == hi)
-        wanted = hit if wanted is None else (wanted | hit)
-        aggs += [F.max(F.when(F.col("_pos") == lo, F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(F.col("_pos") == hi, F.col("_v"))).alias(f"_{name}_hi")]
-    picked = pos.filter(wanted).groupBy(*by).agg(F.max("_n").alias("_n"), *aggs)
-    out = [F.col(c) for c in by]
-    for name, p in probs.items():
-        h = (F.col("_n") - F.lit(1)) * F.lit(float(p))
-        frac = h - F.floor(h)
-        if decimal_scale is not None:
-            frac = frac.cast("decimal(20,12)")
-        lo_v, hi_v = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        out.append((lo_v + frac * (hi_v - lo_v)).alias(name))
-    return picked.select(*out)
+    """``selection.group_quantiles``; ``num_partitions`` is of no use any more and ignored."""
+    return selection.group_quantiles(df, by, value, probs, decimal_scale=decimal_scale)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.exprs import sql_round
-from quarry.operators.positions import ntile_global
+from quarry.operators.selection import ntiles
+from quarry.session import written
 
 # Segment cut points on the summed score (3..12), highest first.
 SEGMENTS = [(10, "Champions"), (7, "Loyal"), (4, "At Risk")]
@@ -27,8 +28,9 @@ def customer_rfm(df: DataFrame, customer: str, order_date, amount: str, *,
     where 4 is best, their sum and a segment label.
 
     Scale plan: (customer, date) pre-aggregate -> per-customer aggregate ->
-    one-row max date (broadcast, size 1) -> three exact NTILEs computed by
-    range partitioning (``ntile_global``), never in a single task.
+    one-row max date (broadcast, size 1) -> written once, one row per customer ->
+    the rows at which the three orders are cut, found together (``ntiles``), and
+    the scores by comparison to those: customers are neither sorted nor shuffled.
     ``customer`` is the unique tie-break inside each NTILE.
     """
     d = order_date if not isinstance(order_date, str) else F.col(order_date)
@@ -43,10 +45,10 @@ def customer_rfm(df: DataFrame, customer: str, order_date, amount: str, *,
     cust = (cust.crossJoin(F.broadcast(max_date))
             .withColumn("recency_days", F.datediff("_max_date", "_last").cast("long"))
             .drop("_max_date", "_last"))
-    tb = F.col("customer_id").asc_nulls_last()
-    cust = ntile_global(cust, tiles, [F.col("recency_days").desc_nulls_last(), tb], "recency_score")
-    cust = ntile_global(cust, tiles, [F.col("frequency").asc_nulls_last(), tb], "frequency_score")
-    cust = ntile_global(cust, tiles, [F.col("monetary").asc_nulls_last(), tb], "monetary_score")
+    last = ("customer_id", "asc")
+    cust = ntiles(written(cust, "rfm-customers"), tiles, {
+        "recency_score": [("recency_days", "desc"), last], "frequency_score": [("frequency", "asc"), last],
+        "monetary_score": [("monetary", "asc"), last]})
     score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return cust.select("customer_id", "recency_days", "frequency", "monetary", "recency_score",
                        "frequency_score", "monetary_score", score.alias("rfm_score"),

@@ -33,12 +33,12 @@ def category_overview(tables) -> DataFrame:
 
 
 def category_price_percentiles(tables, exact: bool = True) -> DataFrame:
-    """Exact quartiles by default (distributed positions); ``exact=False`` uses
+    """Exact quartiles by default (found by sketches and counts); ``exact=False`` uses
     ``percentile_approx`` sketches, one bounded buffer per group."""
     p = _categorized(tables["products"]).filter(F.col("retail_price") > 0)
     d = distribution.distribution_by_group(p, ["category"], "retail_price", min_count=50,
                                            count_name="product_count", exact=exact,
-                                           decimal_scale=6 if exact else None)
+                                           decimal_scale=9 if exact else None)
     out = d.select("category", "product_count", F.col("avg_value").alias("avg_price"),
                    F.col("median_value").alias("median_price"), "q1", "q3",
                    F.col("value_range").alias("price_range"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import exprs as X
-from quarry.operators import explorer, groups, positions, ranking, rfm
+from quarry.operators import explorer, groups, ranking, rfm, selection
+from quarry.session import written
 
 
 def _late():
@@ -45,7 +46,8 @@ def reorder_risk_by_product(tables) -> DataFrame:
         X.sql_round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
     order = [F.col("replenishment_burden").desc_nulls_last(), F.col("product_name").asc_nulls_last(),
              F.col("category_name").asc_nulls_last()]
-    q = positions.ntile_global(prod, 4, order, "risk_quartile")
+    q = selection.ntiles(written(prod, "risk-products"), 4, {"risk_quartile": [
+        ("replenishment_burden", "desc"), ("product_name", "asc"), ("category_name", "asc")]})
     return ranking.top_k(q, order, 25)
 
 

@@ -3,17 +3,18 @@
 Every reference query (Q1-Q48) and dataframe step (M1-M14) is expressed on the
 TPC-H-like tables with the same shape of computation; the mapping is in
 ``README.md``. Each function takes ``(spark, folder, **params)`` and returns a
-lazy DataFrame; optional parameters default to None = no filter.
+DataFrame (NTILE, percentiles and model fits run jobs when they are built, the
+others are lazy); optional parameters default to None = no filter.
 
 Scale notes that apply throughout:
 * facts (lineitem, orders) are pre-aggregated to the join key of the next
   step before they are joined or exploded, so shuffles carry partial sums;
 * distinct counts are two-level aggregates, never Spark's Expand rewrite;
 * explicit broadcasts only for sides with a proven bound (fixed lookups,
-  one-row aggregates, per-partition tables) or, for per-group sides, after a
-  row count (``operators.joins.broadcast_if_small``); everything else is left
-  to AQE, which broadcasts from the measured size;
-* global orderings (NTILE, percentiles) use range partitioning, not one task.
+  one-row aggregates, brackets of hot groups); everything else is left to AQE,
+  which broadcasts from the measured size;
+* NTILE and percentiles select by sketches and counts (``operators.selection``),
+  neither sorting the rows nor holding a group in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions import exprs as X
 from quarry.operators import correlation, distribution, explode, explorer, fanout, groups, growth, ml
-from quarry.operators import positions, ranking, reshape, rfm
+from quarry.operators import ranking, reshape, rfm, selection
+from quarry.session import written
 from quarry.sources import etl
 from quarry.sources.tables import TableSet
 
@@ -313,7 +315,7 @@ def price_percentiles(spark, d):
     p = t.part.select("p_partkey", F.col("p_type").alias("category"))
     j = l.join(p, l.l_partkey == p.p_partkey).select("category", "l_extendedprice")
     dist = distribution.distribution_by_group(j, ["category"], "l_extendedprice", min_count=50,
-                                              count_name="line_count", decimal_scale=6)
+                                              count_name="line_count", decimal_scale=9)
     out = dist.select("category", "line_count", F.col("avg_value").alias("avg_price"),
                       F.col("median_value").alias("median_price"), "q1", "q3",
                       F.col("value_range").alias("price_range"))
@@ -484,7 +486,7 @@ def late_overall(spark, d):
 @query("risk_quartiles")
 def risk_quartiles(spark, d):
     """Q24: burden = avg qty x avg lead days per product (>= 30 rows), NTILE(4) over
-    all products (exact, range-partitioned), top 25 by burden."""
+    all products (exact, by the rows at which the order is cut), top 25 by burden."""
     t = _t(spark, d)
     # per-part partial sums first; only they meet the part table
     per_part = shipments(t).groupBy("l_partkey").agg(
@@ -499,9 +501,9 @@ def risk_quartiles(spark, d):
         "product_name", "category_name", "order_count",
         X.sql_round("_q", 2).alias("avg_order_quantity"), X.sql_round("_d", 2).alias("avg_lead_time_days"),
         X.sql_round(F.col("_q") * F.col("_d"), 2).alias("replenishment_burden"))
-    tiebreak = asc("product_name", "category_name")
-    q = positions.ntile_global(prod, 4, desc("replenishment_burden") + tiebreak, "risk_quartile")
-    return ranking.top_k(q, desc("replenishment_burden") + tiebreak, 25)
+    order = [("replenishment_burden", "desc"), ("product_name", "asc"), ("category_name", "asc")]
+    q = selection.ntiles(written(prod, "risk-products"), 4, {"risk_quartile": order})
+    return ranking.top_k(q, desc("replenishment_burden") + asc("product_name", "category_name"), 25)
 
 
 @query("market_reliability")

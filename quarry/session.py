@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query in this package assumes. AQE re-plans joins at run time
 # (broadcast only when the *measured* side is small), coalesces small shuffle
@@ -57,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server; point it at shared storage") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -72,3 +76,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: lineage is cut, any executor may be
+    lost afterwards, and a second use does not compute it again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
