@@ -1,8 +1,7 @@
-"""Feature scaling, k-means archetypes and OLS residual ranking on MLlib.
+"""Feature scaling, k-means archetypes (MLlib) and OLS residual ranking.
 
-Every fit is a distributed MLlib job (per-iteration tree aggregates; centres
-or normal-equation matrices are the only things on the driver, sized by the
-feature count, not the data).
+A k-means fit is a distributed MLlib job. A regression is solved from one mergeable aggregate of
+means and co-moments. What reaches the driver is sized by centres and features, not by the data.
 """
 
 from __future__ import annotations
@@ -10,23 +9,26 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.exprs import half_even_round
 
 
+def _scale_stats(df: DataFrame, features: Sequence[str]) -> list[Column]:
+    return [*[F.avg(c).alias(f"_m_{c}") for c in features], *[F.stddev_pop(c).alias(f"_s_{c}") for c in features]]
+
+
 def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / population std per feature (unit *population* variance, as
     scikit-learn's StandardScaler; MLlib's scaler divides by the sample std).
     The statistics are one row, joined as a broadcast of proven size 1."""
-    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in features],
-                   *[F.stddev_pop(c).alias(f"_s_{c}") for c in features])
-    out = df.crossJoin(F.broadcast(stats))
+    out = df.crossJoin(F.broadcast(df.agg(*_scale_stats(df, features))))
     for c in features:
         s = F.col(f"_s_{c}")
         out = out.withColumn(c + suffix, F.when(s > 0, (F.col(c) - F.col(f"_m_{c}")) / s)
@@ -34,6 +36,8 @@ def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> D
     return out.drop(*[f"_m_{c}" for c in features], *[f"_s_{c}" for c in features])
 
 
+# ------------------------------------------------------------------ k-means
+
 def _vectors(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
@@ -76,12 +80,15 @@ def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 4
     feats = list(features)
     data = standardize(df, feats) if scale else df
     cols = [c + "_z" for c in feats] if scale else feats
-    vec = _vectors(data, cols).cache()
-    fits = _fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
-    _, _, model, cost = min(fits, key=lambda f: (f[3], f[1]))
-    # the fits are done: release the cache (no entry lingers into later queries);
+    vec = _vectors(data, cols)
+    # the cache holds the vectors alone and goes when the fits are done, be it by an error;
     # the lazy assignment below recomputes the features in one pass if it is used
-    vec.unpersist()
+    points = vec.select("features").cache()
+    try:
+        fits = _fit_many(points, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
+    finally:
+        points.unpersist()
+    _, _, model, cost = min(fits, key=lambda f: (f[3], f[1]))
     assigned = model.transform(vec).drop("features")
     return model, assigned, cost
 
@@ -92,14 +99,39 @@ def elbow_curve(df: DataFrame, features: Sequence[str], ks: Sequence[int] = rang
     spark = df.sparkSession
     feats = list(features)
     vec = _vectors(standardize(df, feats), [c + "_z" for c in feats]).select("features").cache()
-    fits = _fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
+    try:
+        fits = _fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
+    finally:
+        vec.unpersist()
     best: dict[int, float] = {}
     for k, _, _, cost in fits:
         best[k] = min(cost, best.get(k, math.inf))
-    vec.unpersist()
     return spark.createDataFrame([(int(k), best[k]) for k in ks], "k long, inertia double")
 
 
+def _scaled_columns(features: Sequence[str], mean: Sequence[float], std: Sequence[float]) -> list[Column]:
+    return [(F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s)) if math.isfinite(s) else F.lit(0.0) * F.col(c)
+            for c, m, s in zip(features, mean, std)]
+
+
+def assign(df: DataFrame, features: Sequence[str], centres, mean=None, std=None, out: str = "cluster", distance: str | None = None) -> DataFrame:
+    """``df`` with the number of the nearest of ``centres`` (the first of equal ones), as plain column
+    arithmetic; ``distance`` names a column for the squared distance. A NULL feature gives NULL."""
+    mean = [0.0] * len(features) if mean is None else mean
+    std = [1.0] * len(features) if std is None else std
+    z, far = _scaled_columns(features, mean, std), []
+    for centre in centres:
+        d = F.lit(0.0)
+        for x, c in zip(z, centre):
+            d = d + (x - F.lit(float(c))) * (x - F.lit(float(c)))
+        far.append(d)
+    known = df.withColumn("_far", F.array(*far))
+    known = known.withColumn(out, F.when(F.element_at("_far", 1).isNotNull(), F.array_position("_far", F.array_min("_far")).cast("int") - 1))
+    if distance:
+        known = known.withColumn(distance, F.array_min("_far"))
+    return known.drop("_far")
+
+
 def cluster_profile(assigned: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
     """Mean of each column per cluster, rounded half-to-even (pandas ``.round``)."""
     return (assigned.groupBy("cluster").agg(
@@ -107,11 +139,67 @@ def cluster_profile(assigned: DataFrame, columns: Sequence[str], digits: int = 1
         *[half_even_round(F.avg(c), digits).alias(c) for c in columns]).orderBy("cluster"))
 
 
+# ------------------------------------------------------------------ least squares
+
+def co_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row (n, means, moments): count, means and the upper triangle of the matrix of summed products
+    of deviations, row by row, over the rows without a NULL. One aggregate that combines within tasks."""
+    names = list(columns)
+    rows = df.dropna(subset=names)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in names]).alias("means"),
+                    F.array(*[F.covar_pop(a, b) * F.count(F.lit(1)) for a, b in pairs]).alias("moments"))
+
+
+def merge_co_moments(parts: DataFrame, width: int) -> DataFrame:
+    """The moments of several loads (rows as by ``co_moments``) as those of all their rows together."""
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    some = parts.filter("n > 0")
+    n = F.sum("n")
+    mean = [F.sum(F.col("n") * F.col("means")[i]) / n for i in range(width)]
+    whole = some.crossJoin(F.broadcast(some.agg(*[m.alias(f"_m{i}") for i, m in enumerate(mean)])))   # one row
+    off = [F.col("means")[i] - F.col(f"_m{i}") for i in range(width)]
+    return whole.agg(F.sum("n").alias("n"), F.array(*[F.max(f"_m{i}") for i in range(width)]).alias("means"),
+                     F.array(*[F.sum(F.col("moments")[k] + F.col("n") * off[i] * off[j]) for k, (i, j) in enumerate(pairs)]).alias("moments"))
+
+
+@dataclass(frozen=True)
+class LinearFit:
+    """Intercept and coefficients of a least-squares fit, and the share of variance that it explains."""
+    features: tuple[str, ...]
+    intercept: float
+    coefficients: tuple[float, ...]
+    r2: float
+
+    def predicted(self) -> Column:
+        out = F.lit(self.intercept)
+        for c, b in zip(self.features, self.coefficients):
+            out = out + F.lit(b) * F.col(c)
+        return out
+
+
+def solve_moments(moments: DataFrame, features: Sequence[str]) -> LinearFit:
+    """The fit of the last column on the others from their moments (one row, read by the driver). Columns
+    that depend on each other share their weight (least norm)."""
+    row, width = moments.first(), len(features) + 1
+    full = np.zeros((width, width))
+    full[np.triu_indices(width)] = [math.nan if x is None else x for x in row["moments"]]
+    full = full + np.triu(full, 1).T
+    if not row["n"] or not np.isfinite(full).all():
+        return LinearFit(tuple(features), math.nan, tuple([math.nan] * len(features)), math.nan)
+    size = np.sqrt(np.where(np.diag(full) > 0, np.diag(full), 1.0))   # correlations are better conditioned than sums
+    scaled = full / np.outer(size, size)
+    beta = np.linalg.lstsq(scaled[:-1, :-1], scaled[:-1, -1], rcond=None)[0] * size[-1] / size[:-1]
+    means = np.array(row["means"])
+    explained = float(beta @ full[:-1, -1])
+    return LinearFit(tuple(features), float(means[-1] - beta @ means[:-1]), tuple(float(b) for b in beta), explained / full[-1, -1] if full[-1, -1] > 0 else math.nan)
+
+
 def ols_fit(df: DataFrame, label: str, features: Sequence[str], *, log_label: bool = True):
-    """Ordinary least squares with intercept (normal equations, no penalty).
+    """Ordinary least squares with intercept, from one pass for the moments.
 
     Rows with a NULL in the used columns, or a non-positive label when
-    ``log_label``, are dropped first. Returns (model, frame with
+    ``log_label``, are dropped first. Returns (fit, frame with
     ``predicted`` and ``residual``, r2)."""
     used = list(features) + [label]
     data = df.dropna(subset=used)
@@ -119,14 +207,9 @@ def ols_fit(df: DataFrame, label: str, features: Sequence[str], *, log_label: bo
         data = data.filter(F.col(label) > 0).withColumn("_y", F.log(F.col(label)))
     else:
         data = data.withColumn("_y", F.col(label).cast("double"))
-    vec = _vectors(data, features)
-    lr = LinearRegression(featuresCol="features", labelCol="_y", predictionCol="predicted",
-                          regParam=0.0, elasticNetParam=0.0, solver="normal",
-                          standardization=False, fitIntercept=True)
-    model = lr.fit(vec)
-    scored = (model.transform(vec).withColumn("residual", F.col("_y") - F.col("predicted"))
-              .drop("features"))
-    return model, scored, model.summary.r2
+    fit = solve_moments(co_moments(data.select(*[F.col(c).cast("double") for c in features], "_y"), [*features, "_y"]), features)
+    scored = data.withColumn("predicted", fit.predicted()).withColumn("residual", F.col("_y") - F.col("predicted"))
+    return fit, scored, fit.r2
 
 
 def residual_extremes(scored: DataFrame, k: int, columns: Sequence[str],

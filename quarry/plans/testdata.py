@@ -888,6 +888,10 @@ def kmeans_elbow(spark, d, n_init: int = 10):
 
 
 OLS_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+FIT_DIGITS = 8
+
+# Centres in standardised units.
+GIVEN_CENTRES = [(1.0, 1.0, 0.5, -0.5), (-1.0, -1.0, -0.5, 0.5), (0.25, 0.5, -1.0, -1.0), (-0.5, 0.125, 1.0, 0.75)]
 
 
 @query("ols_residual_topk")
@@ -895,8 +899,9 @@ def ols_residual_topk(spark, d):
     """M13, M14: log price ~ quantity + discount + tax; 10 lowest and 10 highest residuals."""
     l = _t(spark, d).lineitem
     _, scored, _ = ml.ols_fit(l, "l_extendedprice", OLS_FEATURES, log_label=True)
-    return ml.residual_extremes(scored, 10, ["l_orderkey", "l_linenumber", "l_partkey", *OLS_FEATURES,
+    ends = ml.residual_extremes(scored, 10, ["l_orderkey", "l_linenumber", "l_partkey", *OLS_FEATURES,
                                              "l_extendedprice"], tie_break=["l_orderkey", "l_linenumber"])
+    return ends.withColumns({c: X.sql_round(c, FIT_DIGITS) for c in ("predicted", "residual")})
 
 
 @query("ols_summary")
@@ -906,7 +911,28 @@ def ols_summary(spark, d):
     model, _, r2 = ml.ols_fit(l, "l_extendedprice", OLS_FEATURES, log_label=True)
     row = [float(r2), float(model.intercept)] + [float(c) for c in model.coefficients]
     names = ["r2", "intercept"] + [f"coef_{c[2:]}" for c in OLS_FEATURES]
-    return spark.createDataFrame([tuple(row)], ", ".join(f"{n} double" for n in names))
+    fit = spark.createDataFrame([tuple(row)], ", ".join(f"{n} double" for n in names))
+    return fit.select(*[X.sql_round(n, FIT_DIGITS).alias(n) for n in names])
+
+
+@query("standardized_stats")
+def standardized_stats(spark, d):
+    """M9: per return flag the mean standardised value of every feature."""
+    l = _t(spark, d).lineitem.select("l_returnflag", *KMEANS_FEATURES).dropna()
+    z = ml.standardize(l, KMEANS_FEATURES)
+    return (z.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("line_count"), *[
+        X.sql_round(F.avg(c + "_z"), 6).alias(c[2:] + "_z") for c in KMEANS_FEATURES]).orderBy("l_returnflag"))
+
+
+@query("kmeans_given")
+def kmeans_given(spark, d):
+    """M10-M12 for fixed centres: rows, cost and mean features per nearest centre."""
+    l = _t(spark, d).lineitem.select(*KMEANS_FEATURES).dropna()
+    z = ml.standardize(l, KMEANS_FEATURES)
+    a = ml.assign(z, [c + "_z" for c in KMEANS_FEATURES], GIVEN_CENTRES, distance="squared")
+    return a.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("size"), X.sql_round(F.sum("squared"), 3).alias("inertia"),
+        *[X.sql_round(F.avg(c), 6).alias(c[2:] + "_mean") for c in KMEANS_FEATURES]).orderBy("cluster")
 
 
 @query("row_count_audit")

@@ -33,6 +33,28 @@ def test_residual_extremes_are_the_ends(spark):
     assert sorted(r.residual for r in ext if r.side == "over") == res[-5:]
 
 
+def test_moments_of_loads_merge_to_those_of_all_rows(spark):
+    """Three loads, one of them empty, merged, give the fit of all rows; columns may depend on each other."""
+    df = spark.range(0, 3000).select((F.rand(1) * 50).alias("a"), (F.rand(2) + 1e6).alias("b"), F.when(F.col("id") % 50 > 0, F.rand(3)).alias("y"), "id")
+    cols = ["a", "b", "y"]
+    parts = [ml.co_moments(df.filter(f"id {cond}"), cols) for cond in ("< 100", "between 100 and 2999", "> 5000")]
+    merged = ml.merge_co_moments(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3).first()
+    whole = ml.co_moments(df, cols).first()
+    assert merged["n"] == whole["n"] == 2940
+    assert merged["means"] == pytest.approx(whole["means"], rel=1e-12) and merged["moments"] == pytest.approx(whole["moments"], rel=1e-9, abs=1e-6)
+    twice = df.withColumn("c", F.col("a") * 2)
+    fit, scored, r2 = ml.ols_fit(twice.withColumn("t", F.col("a") * 3 + 5), "t", ["a", "c"], log_label=False)
+    assert r2 == pytest.approx(1.0) and scored.agg(F.max(F.abs("residual"))).first()[0] < 1e-8
+    empty = ml.ols_fit(df.filter("id < 0"), "y", ["a"], log_label=False)
+    assert np.isnan(empty[0].intercept) and empty[1].count() == 0
+
+
+def test_assignment_to_given_centres(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (0.5, 0.0), (9.0, 9.0), (None, 1.0)], "x double, y double")
+    rows = ml.assign(df, ["x", "y"], [(0.0, 0.0), (1.0, 0.0), (9.0, 9.0)], distance="d").collect()
+    assert [(r["cluster"], r["d"]) for r in rows] == [(0, 0.0), (1, 0.0), (0, 0.25), (2, 0.0), (None, None)]
+
+
 def test_population_standardisation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (6.0,)], "x double")
     z = np.array([r.x_z for r in ml.standardize(df, ["x"]).collect()])

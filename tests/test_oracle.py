@@ -28,4 +28,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_registered_has_sql_or_is_ml():
     no_sql = set(E.queries()) - set(E.oracle_sql()) - set(E.LLM_QUERIES)
-    assert no_sql == {"kmeans_profile", "kmeans_elbow", "ols_residual_topk", "ols_summary"}
+    assert no_sql == {"kmeans_profile", "kmeans_elbow"}
