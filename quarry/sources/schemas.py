@@ -88,9 +88,10 @@ def load_restaurants(spark: SparkSession, restaurants_csv: str, country_codes_pa
     return {"restaurants": r, "country_codes": cc}
 
 
-def load_products(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def load_products(spark: SparkSession, path: str, infer: bool = True) -> dict[str, DataFrame]:
+    """The product list; columns that are not declared are typed from all rows unless ``infer`` is off."""
     # product descriptions (not loaded, but parsed) span lines inside quotes
-    return {"products": read_csv(spark, path, PRODUCTS, multiline=True)}
+    return {"products": read_csv(spark, path, PRODUCTS, multiline=True, infer=infer)}
 
 
 def load_supply_chain(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -98,17 +99,20 @@ def load_supply_chain(spark: SparkSession, path: str) -> dict[str, DataFrame]:
                                null_words=PANDAS_NA_WORDS, drop=SUPPLY_PRIVATE_COLUMNS)}
 
 
-def load_players(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {"players": read_csv(spark, path, PLAYERS)}
+def load_players(spark: SparkSession, path: str, infer: bool = True) -> dict[str, DataFrame]:
+    """The player list; columns that are not declared are typed from all rows unless ``infer`` is off."""
+    return {"players": read_csv(spark, path, PLAYERS, infer=infer)}
 
 
 def load_ecommerce(spark: SparkSession, folder: str,
-                   files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                   files: dict[str, str] | None = None, infer: bool = True) -> dict[str, DataFrame]:
     """The nine star-schema tables from ``folder``; ``files`` maps a table name to
-    its file name when it is not ``<table>.csv``."""
+    its file name when it is not ``<table>.csv``. Columns that are not declared are
+    typed from all rows unless ``infer`` is off."""
     files = files or {}
     out = {}
     for name, cols in ECOMMERCE.items():
         out[name] = read_csv(spark, os.path.join(folder, files.get(name, f"{name}.csv")), cols,
-                             multiline=name in ECOMMERCE_MULTILINE, partial=name in ("sellers", "geolocation"))
+                             multiline=name in ECOMMERCE_MULTILINE, partial=name in ("sellers", "geolocation"),
+                             infer=infer)
     return out

@@ -42,14 +42,21 @@ class TableSet:
 
 def open_store(spark: SparkSession, folder: str, names: Iterable[str]) -> TableSet:
     """Open a persisted table set on any file system Spark reads, failing early with guidance
-    if a table is missing."""
-    store = TableSet(spark, folder, names)
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-
-    def exists(name: str) -> bool:
-        path = jvm.org.apache.hadoop.fs.Path(store.path(name))
-        return path.getFileSystem(conf).exists(path)
-    missing = [n for n in store.names if not exists(n)]
+    if a table is missing: the last finished load of a store, or a plain folder of Parquet tables."""
+    from quarry.sources.store import VersionedStore, versions
+    names = tuple(names)
+    if versions(spark, folder):
+        store = VersionedStore(spark, folder)
+        missing = [n for n in names if n not in store.tables]
+        store.names = names
+    else:
+        store = TableSet(spark, folder, names)
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+
+        def exists(name: str) -> bool:
+            path = jvm.org.apache.hadoop.fs.Path(store.path(name))
+            return path.getFileSystem(conf).exists(path)
+        missing = [n for n in names if not exists(n)]
     if missing:
         raise FileNotFoundError(
             f"table store {folder!r} lacks {missing}; build it first with "
