@@ -58,7 +58,7 @@ def price_tier_binning(tables) -> DataFrame:
 def top_discounted_products(tables) -> DataFrame:
     p = _categorized(tables["products"]).filter(
         (F.col("retail_price") > 0) & F.col("discounted_price").isNotNull())
-    top = ranking.topk_per_group(p, ["category"], [F.col("discount_pct").desc_nulls_last()], 3)
+    top = ranking.topk_by_cut(p, ["category"], ["discount_pct"], [F.col("discount_pct").desc_nulls_last()], 3)
     return top.select("category", "product_name", "brand", "retail_price", "discounted_price",
                       "discount_pct").orderBy(F.col("category").asc_nulls_last(),
                                               F.col("discount_pct").desc_nulls_last())

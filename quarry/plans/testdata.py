@@ -353,17 +353,19 @@ def price_tiers(spark, d):
 def topk_per_group(spark, d):
     """Q16: RANK() <= 3 per group by discount, ties kept.
 
-    Exact pre-filter: a line in its brand's top 3 is also in its part's top 3
-    (and a dropped line leaves at least three better lines of its part behind),
-    so lines are first cut to rank <= 3 per part — partially, map-side — and
-    only the survivors meet the part table and the per-brand rank.
+    Lines are counted by part and discount, then by brand and discount, and the counts give
+    the discounts in a brand's top 3. One join back by part and discount finds their lines,
+    so no line is sorted and no line below the cut meets the part table.
     """
     t = _t(spark, d)
     l = _priced_lines(t).filter((F.col("l_extendedprice") > 0) & F.col("discounted").isNotNull())
-    l = ranking.topk_per_group(l, ["l_partkey"], desc("discount_pct"), 3)
     p = t.part.select("p_partkey", "p_name", F.col("p_brand").alias("category"))
-    j = l.join(p, l.l_partkey == p.p_partkey)
-    top = ranking.topk_per_group(j, ["category"], desc("discount_pct"), 3)
+    cells = l.groupBy("l_partkey", "discount_pct").agg(F.count(F.lit(1)).alias("lines"))
+    cells = cells.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    kept = ranking.kept_values(cells, ["category"], ["discount_pct"], desc("discount_pct"), 3, weight="lines")
+    kept = kept.select(F.col("category").alias("kept_category"), F.col("discount_pct").alias("kept_pct"))
+    cells = p.join(kept, F.col("category").eqNullSafe(F.col("kept_category")))   # three discounts a part at most
+    top = l.join(cells, (F.col("l_partkey") == F.col("p_partkey")) & F.col("discount_pct").eqNullSafe(F.col("kept_pct")))
     return top.select("category", "p_name", "l_orderkey", "l_linenumber",
                       F.col("l_extendedprice").alias("retail_price"),
                       F.col("discounted").alias("discounted_price"), "discount_pct")
