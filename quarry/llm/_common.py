@@ -2,45 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, ship_package
 
 GROUP_BYTES = 1 << 19  # text handled at a time inside a task
 _M64 = (1 << 64) - 1
 
 
-_shipped: dict[str, tempfile.TemporaryDirectory | None] = {}
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let the executors' Python workers import this package where PYTHONPATH does not: Spark's file
-    server gives them a zip of it, which the driver keeps until it ends."""
-    app, root = spark.sparkContext.applicationId, Path(__file__).resolve().parents[2]
-    if app in _shipped:
-        return
-    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        _shipped[app] = None
-        return
-    _shipped[app] = folder = tempfile.TemporaryDirectory()
-    to = Path(folder.name) / f"quarry-{app}.zip"
-    with zipfile.ZipFile(to, "w") as z:
-        for f in sorted((root / "quarry").rglob("*.py")):
-            z.write(f, f.relative_to(root))
-    spark.sparkContext.addPyFile(str(to))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

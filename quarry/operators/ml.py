@@ -12,12 +12,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.exprs import half_even_round
+from quarry.session import ship_package
 
 
 def _scale_stats(df: DataFrame, features: Sequence[str]) -> list[Column]:
@@ -53,44 +56,127 @@ def _mllib_tol(k: int, tol: float = SKLEARN_TOL) -> float:
     return math.sqrt(tol / k)
 
 
-def _fit_many(vec: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int, parallel: int,
-              solver: str = "block"):
-    """Fit one k-means per (k, seed). The fits are independent Spark jobs submitted
-    from a small thread pool, so their tasks interleave on the executors instead
-    of each fit waiting for the previous one's per-iteration round trips.
-
-    ``solver="block"`` stacks the dense feature rows into matrices and assigns
-    points with BLAS level-3 products (same result as ``"row"``, about 3x faster
-    here); each running fit keeps its own compact block copy (rows x features x
-    8 bytes), so ``parallel`` bounds that memory as well as the concurrency."""
-    def fit(spec):
+def _start_centres(vec: DataFrame, specs: Sequence[tuple[int, int]], parallel: int) -> list[np.ndarray]:
+    """The starting centres of each (k, seed), by MLlib's k-means||: as many as there are distinct points, at
+    most k. The searches are independent Spark jobs submitted from a small thread pool, ``parallel`` at a time."""
+    def start(spec):
         k, seed = spec
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=_mllib_tol(k), solver=solver,
-                       featuresCol="features", predictionCol="cluster").fit(vec)
-        return k, seed, model, float(model.summary.trainingCost)
+        model = KMeans(k=k, seed=seed, maxIter=0, solver="block", featuresCol="features", predictionCol="cluster").fit(vec)
+        return np.array(model.clusterCenters())
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
-        return list(pool.map(fit, specs))
+        return list(pool.map(start, specs))
+
+
+BLOCK_ROWS = 16384     # points of one block
+TILE = 1 << 16         # distances held at a time
+
+
+def _point_blocks(df: DataFrame, cols: Sequence[str]):
+    """The rows of ``cols`` as an RDD of matrices, a point per column and a last row of ones, dealt over
+    all cores."""
+    width = len(cols)
+
+    def run(batches):
+        for batch in batches:
+            block = np.ones((width + 1, batch.num_rows))
+            for j in range(width):
+                block[j] = batch.column(j).to_numpy(zero_copy_only=False)
+            for lo in range(0, batch.num_rows, BLOCK_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(block[:, lo: lo + BLOCK_ROWS]).tobytes()], pa.binary())], names=["block"])
+    blocks = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(run, "block binary").rdd
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if blocks.getNumPartitions() < cores:
+        blocks = blocks.repartition(cores)
+    return blocks.map(lambda r: np.frombuffer(r[0]).reshape(width + 1, -1))
+
+
+def _sums(centres: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums and counts of the points nearest to each centre, cost of each fit) of one block, for fits of equally
+    many centres (fits x centres x features). A point goes to the first of equally near centres."""
+    fits, k, width = centres.shape
+    flat = centres.reshape(fits * k, width)
+    by = np.column_stack([-flat, (flat * flat).sum(axis=1) / 2])   # half the squared distance, less the point's own part
+    total, cost = np.zeros((fits * k, width + 1)), np.zeros(fits)
+    step = max(64, TILE // len(by))
+    for lo in range(0, block.shape[1], step):
+        x = block[:, lo: lo + step]
+        far = (by @ x).reshape(fits, k, -1)
+        near = far.min(axis=1)
+        hit = far == near[:, None, :]
+        if np.count_nonzero(hit) != near.size:
+            hit = np.arange(k)[:, None] == far.argmin(axis=1)[:, None, :]
+        total += hit.reshape(fits * k, -1).astype(np.float64) @ x.T
+        cost += 2 * near.sum(axis=1) + (x[:-1] * x[:-1]).sum()
+    return total.reshape(fits, k, width + 1), cost
+
+
+def _lloyd(blocks, starts: Sequence[np.ndarray], tols: Sequence[float], max_iter: int) -> list[tuple[np.ndarray, float]]:
+    """(centres, cost) of Lloyd's iterations from each of ``starts``. One job per iteration serves every fit that
+    still runs; a task sends its sums for each centre, and the driver makes the new centres. As in
+    MLlib, a fit ends when each of its centres moves by its tolerance at most, a centre without points
+    stays, and the cost is that of the last assignment."""
+    centres, cost = [c.copy() for c in starts], [math.nan] * len(starts)
+    running, passes = list(range(len(starts))), 0
+    while running and passes < max_iter:
+        groups = [[f for f in running if len(centres[f]) == k] for k in sorted({len(centres[f]) for f in running})]
+        stacks = [np.stack([centres[f] for f in g]) for g in groups]
+
+        def run(part, stacks=stacks):
+            held = None
+            for block in part:
+                got = [_sums(c, block) for c in stacks]
+                held = got if held is None else [(a + x, b + y) for (a, b), (x, y) in zip(held, got)]
+            return [] if held is None else [held]
+        whole = blocks.mapPartitions(run).reduce(lambda p, q: [(a + x, b + y) for (a, b), (x, y) in zip(p, q)])
+        running, passes = [], passes + 1
+        for group, (sums, costs) in zip(groups, whole):
+            for f, total, c in zip(group, sums, costs):
+                count = total[:, -1:]
+                moved = np.where(count > 0, total[:, :-1] / np.maximum(count, 1), centres[f])
+                shift = ((moved - centres[f]) ** 2).sum(axis=1)
+                centres[f], cost[f] = moved, float(c)
+                if (shift > tols[f] ** 2).any():
+                    running.append(f)
+    return list(zip(centres, cost))
+
+
+def _fit_many(data: DataFrame, cols: Sequence[str], specs: Sequence[tuple[int, int]], max_iter: int, parallel: int):
+    """(k, seed, centres, cost) of one k-means per (k, seed): starts by MLlib, then the iterations of all fits
+    together over one set of blocks."""
+    ship_package(data.sparkSession)
+    points = _vectors(data, cols).select("features").cache()
+    try:
+        starts = _start_centres(points, specs, parallel)
+    finally:
+        points.unpersist()
+    blocks = _point_blocks(data, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = _lloyd(blocks, starts, [_mllib_tol(k) for k, _ in specs], max_iter)
+    finally:
+        blocks.unpersist()
+    return [(k, seed, c, cost) for (k, seed), (c, cost) in zip(specs, fits)]
+
+
+def _known(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows whose ``cols`` are neither null nor NaN."""
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.filter(known)
 
 
 def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 42,
                 n_init: int = 10, max_iter: int = 300, scale: bool = True, parallel: int = 10):
-    """Fit k-means ``n_init`` times (seeds seed..seed+n_init-1) and keep the model
-    with the lowest within-cluster sum of squares. Returns (model, assigned
+    """Fit k-means ``n_init`` times (seeds seed..seed+n_init-1) and keep the fit
+    with the lowest within-cluster sum of squares. Returns (centres, assigned
     frame with ``cluster``, cost). Costs are scalars compared on the driver."""
     feats = list(features)
     data = standardize(df, feats) if scale else df
     cols = [c + "_z" for c in feats] if scale else feats
-    vec = _vectors(data, cols)
-    # the cache holds the vectors alone and goes when the fits are done, be it by an error;
-    # the lazy assignment below recomputes the features in one pass if it is used
-    points = vec.select("features").cache()
-    try:
-        fits = _fit_many(points, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
-    finally:
-        points.unpersist()
-    _, _, model, cost = min(fits, key=lambda f: (f[3], f[1]))
-    assigned = model.transform(vec).drop("features")
-    return model, assigned, cost
+    data = _known(data, cols)
+    fits = _fit_many(data, cols, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
+    _, _, centres, cost = min(fits, key=lambda f: (f[3], f[1]))
+    return centres, assign(data, cols, centres.tolist()), cost
 
 
 def elbow_curve(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), *,
@@ -98,11 +184,8 @@ def elbow_curve(df: DataFrame, features: Sequence[str], ks: Sequence[int] = rang
     """(k, inertia) for every k: best-of-``n_init`` within-cluster sum of squares."""
     spark = df.sparkSession
     feats = list(features)
-    vec = _vectors(standardize(df, feats), [c + "_z" for c in feats]).select("features").cache()
-    try:
-        fits = _fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
-    finally:
-        vec.unpersist()
+    cols = [c + "_z" for c in feats]
+    fits = _fit_many(_known(standardize(df, feats), cols), cols, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
     best: dict[int, float] = {}
     for k, _, _, cost in fits:
         best[k] = min(cost, best.get(k, math.inf))

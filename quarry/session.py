@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +86,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: dict[str, tempfile.TemporaryDirectory | None] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package where PYTHONPATH does not: Spark's file
+    server gives them a zip of it, which the driver keeps until it ends."""
+    app, root = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app in _shipped:
+        return
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        _shipped[app] = None
+        return
+    _shipped[app] = folder = tempfile.TemporaryDirectory()
+    to = Path(folder.name) / f"quarry-{app}.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted((root / "quarry").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(to))

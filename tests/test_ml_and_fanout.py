@@ -72,6 +72,35 @@ def test_kmeans_best_and_elbow(spark):
     assert min(elbow) <= cost <= max(elbow)
 
 
+def test_one_job_per_iteration_serves_all_fits(spark):
+    """Fits of several k share their passes, and each ends where MLlib's own fit ends from the same start."""
+    df = spark.range(0, 1500).select((F.rand(1) + F.col("id") % 3 * 0.7).alias("x"), F.rand(2).alias("y"))
+    df = df.unionByName(spark.createDataFrame([(None, 1.0), (float("nan"), 1.0)], "x double, y double"))
+    points = ml._known(df, ["x", "y"])
+    assert points.count() == 1500
+    jobs = spark.sparkContext.statusTracker()
+    starts = ml._start_centres(ml._vectors(points, ["x", "y"]).select("features").cache(), [(k, s) for k in (2, 3, 4) for s in (1, 2)], 2)
+    blocks = ml._point_blocks(points, ["x", "y"]).cache()
+    spark.sparkContext.setJobGroup("lloyd", "lloyd")
+    alone = [ml._lloyd(blocks, [c], [ml._mllib_tol(len(c))], 300)[0] for c in starts]
+    each = len(jobs.getJobIdsForGroup("lloyd"))
+    spark.sparkContext.setJobGroup("lloyd-all", "lloyd-all")
+    together = ml._lloyd(blocks, starts, [ml._mllib_tol(len(c)) for c in starts], 300)
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs.getJobIdsForGroup("lloyd-all")) < each / 2
+    for (c, cost), (d, other) in zip(alone, together):
+        assert cost == pytest.approx(other) and c == pytest.approx(d)
+    for (k, seed), (c, cost) in zip([(k, s) for k in (2, 3, 4) for s in (1, 2)], together):
+        model = ml.KMeans(k=k, seed=seed, maxIter=300, tol=ml._mllib_tol(k), solver="block").fit(ml._vectors(points, ["x", "y"]).select("features"))
+        assert np.array(model.clusterCenters()) == pytest.approx(c, rel=1e-6) and model.summary.trainingCost == pytest.approx(cost, rel=1e-6)
+
+
+def test_a_point_goes_to_the_first_of_equal_centres():
+    block = np.array([[0.0, 1.0, 2.0], [1.0, 1.0, 1.0]])
+    sums, cost = ml._sums(np.array([[[1.0], [1.0]], [[0.0], [2.0]]]), block)
+    assert sums.tolist() == [[[3.0, 3.0], [0.0, 0.0]], [[1.0, 2.0], [2.0, 1.0]]] and cost.tolist() == [2.0, 1.0]
+
+
 def test_review_fanout_arithmetic_equals_real_join(spark):
     """Items x reviews: counting the fan-out arithmetically equals joining the rows."""
     t = T._t(spark, SF001)
