@@ -22,15 +22,26 @@ from quarry.functions.exprs import sql_round
 # Exact sums of scores: wide enough for any score of ten decimals; a larger value raises.
 SCORE_TYPE = "decimal(24,10)"
 
+ROWS_PER_TASK = 200_000   # items of one join task, where their orders are grouped in the same task
+
+
+def task_parts(items: DataFrame) -> int:
+    """Tasks of ``ROWS_PER_TASK`` rows for a table (its rows are counted)."""
+    return items.count() // ROWS_PER_TASK + 1
+
 
 def review_weights(items: DataFrame, reviews: DataFrame, item_key: str, review_key: str,
-                   score: str, *, dedupe: bool = False) -> DataFrame:
+                   score: str, *, dedupe: bool = False, parts: int | None = None) -> DataFrame:
     """``items`` + ``_fan`` (copies the join would make), ``_rcnt`` / ``_rsum``
     (non-null score count and exact decimal sum of the matched reviews).
-    ``dedupe=True`` counts every item once (the corrected, non-faithful form)."""
+    ``dedupe=True`` counts every item once (the corrected, non-faithful form). ``parts``
+    (see ``task_parts``) fixes the number of join tasks, so that what one holds does not
+    grow with the tables, whatever the session's number of shuffle partitions."""
     per_key = reviews.groupBy(F.col(review_key).alias("_rk")).agg(
         F.count(F.lit(1)).alias("_rrows"), F.count(score).alias("_rcnt"),
         F.sum(F.col(score).cast(SCORE_TYPE)).alias("_rsum"))
+    if parts:
+        items, per_key = items.repartition(parts, item_key), per_key.repartition(parts, "_rk")
     j = items.join(per_key, items[item_key] == per_key["_rk"], "left").drop("_rk")
     fan = F.lit(1) if dedupe else F.greatest(F.coalesce(F.col("_rrows"), F.lit(0)), F.lit(1))
     return (j.withColumn("_fan", fan.cast("long"))

@@ -41,7 +41,7 @@ def monthly_revenue_growth(tables, from_month: str | None = None) -> DataFrame:
                                 "order_id", "customer_id", from_period=from_month)
 
 
-def _categorized_items(tables, dedupe_reviews: bool = False) -> DataFrame:
+def _categorized_items(tables, dedupe_reviews: bool = False, parts: int | None = None) -> DataFrame:
     items = tables["order_items"].select("order_id", "order_item_id", "product_id", "price")
     p = tables["products"].select("product_id", "product_category_name")
     t = tables["category_translation"]  # lookup: AQE broadcasts it from its measured size
@@ -51,11 +51,11 @@ def _categorized_items(tables, dedupe_reviews: bool = False) -> DataFrame:
          .withColumn("category", F.coalesce("product_category_name_english", "product_category_name",
                                             F.lit("unknown"))))
     return fanout.review_weights(j, tables["order_reviews"], "order_id", "order_id", "review_score",
-                                 dedupe=dedupe_reviews)
+                                 dedupe=dedupe_reviews, parts=parts)
 
 
 def top_categories(tables, dedupe_reviews: bool = False) -> DataFrame:
-    w = _categorized_items(tables, dedupe_reviews)
+    w = _categorized_items(tables, dedupe_reviews, fanout.task_parts(tables["order_items"]))
     out = fanout.fanout_summary(w, ["category"], "order_id", "order_item_id", "price")
     return ranking.top_k(out, [F.col("revenue").desc_nulls_last(), F.col("category")], 20)
 

@@ -136,7 +136,7 @@ def reviews(t: TableSet) -> DataFrame:
         F.col("user_id").alias("r_order"), F.col("value").alias("review_score"))
 
 
-def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = False) -> DataFrame:
+def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = False, parts: int | None = None) -> DataFrame:
     """Items ⋈ part ⟕ translation ⟕ reviews with the review fan-out kept
     (an item with n reviews counts n times, as the SQL join does), computed by
     ``fanout.review_weights`` so a heavily reviewed order never multiplies rows."""
@@ -149,7 +149,7 @@ def categorized_items(spark: SparkSession, t: TableSet, dedupe_reviews: bool = F
                  F.coalesce("t_name", "p_type").alias("category_or_null"),
                  F.coalesce("t_name", "p_type", F.lit("unknown")).alias("category")))
     return fanout.review_weights(j, reviews(t), "l_orderkey", "r_order", "review_score",
-                                 dedupe=dedupe_reviews)
+                                 dedupe=dedupe_reviews, parts=parts)
 
 
 def _items_summary(items: DataFrame, by: list[str], with_orders: bool) -> DataFrame:
@@ -705,7 +705,8 @@ query("period_growth_since", from_month="1997-01-01")(_period_growth)
 @query("top_categories")
 def top_categories(spark, d, dedupe_reviews: bool = False):
     """Q40: inner + two left joins, COALESCE category, distinct orders, top 20."""
-    items = categorized_items(spark, _t(spark, d), dedupe_reviews)
+    t = _t(spark, d)
+    items = categorized_items(spark, t, dedupe_reviews, fanout.task_parts(t.lineitem))
     out = _items_summary(items, ["category"], with_orders=True)
     return ranking.top_k(out.select("category", "orders", "items_sold", "revenue", "avg_item_price",
                                     "avg_rating"), desc("revenue") + asc("category"), 20)

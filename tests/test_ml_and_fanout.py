@@ -101,6 +101,24 @@ def test_a_point_goes_to_the_first_of_equal_centres():
     assert sums.tolist() == [[[3.0, 3.0], [0.0, 0.0]], [[1.0, 2.0], [2.0, 1.0]]] and cost.tolist() == [2.0, 1.0]
 
 
+def test_tasks_of_top_categories_follow_the_rows_not_the_session(spark, monkeypatch):
+    """With one shuffle partition in the session the orders are still grouped in as many tasks as the rows ask for."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    whole = T.top_categories(spark, SF001).collect()
+    monkeypatch.setattr(T.fanout, "ROWS_PER_TASK", 1000)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        out = T.top_categories(spark, SF001)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = spark.read.parquet(f"{SF001}/lineitem.parquet").count() // 1000 + 1
+    assert parts > 1 and f", {parts}), REPARTITION_BY_NUM" in plan
+    assert [(r.category, r.orders, r.items_sold, r.avg_rating) for r in rows] == [(r.category, r.orders, r.items_sold, r.avg_rating) for r in whole]
+    assert [r.revenue for r in rows] == pytest.approx([r.revenue for r in whole], abs=0.011)
+
+
 def test_review_fanout_arithmetic_equals_real_join(spark):
     """Items x reviews: counting the fan-out arithmetically equals joining the rows."""
     t = T._t(spark, SF001)
