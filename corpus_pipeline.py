@@ -27,14 +27,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each near-duplicate group (five-word shingles, similarity 0.8) stays, the one
     of the smallest id. Rows are told apart by a number of their own, not by their ids: rows that
     share an id, or have none, go if their texts are linked and stay if they are not; of equal rows
-    one stays."""
+    one stays. Only rows that a bit map takes for dropped ones are joined with those: the other texts
+    are not shuffled."""
     rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
     classes = near_dedup.near_duplicates(rows, id_col="row").filter("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
     several = materialize(classes.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
                           .join(classes, "component_id").join(rows.select("row", "doc_id"), "row"), "several")
     stays = several.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
-    gone = several.join(stays.select("row"), "row", "left_anti").select("row")
-    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
+    gone = materialize(several.join(stays.select("row"), "row", "left_anti").select("row"), "gone")
+    marked = rows.withColumn("perhaps", near_dedup.perhaps_among(gone, "row"))
+    checked = marked.filter("perhaps").join(gone.hint("merge"), "row", "left_anti")
+    return marked.filter("not perhaps").select(*COLUMNS).unionByName(checked.select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,9 +29,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: the lineage is cut and any
-    executor may be lost afterwards."""
+    executor may be lost afterwards. Scratch tables live as long as what is made from them, so they are
+    packed tighter than Spark's default."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

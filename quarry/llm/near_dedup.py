@@ -12,8 +12,9 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._common import arrow_rows, materialize, mix64, row_groups, text_buffer, word_hashes
@@ -144,6 +145,18 @@ def _asked_map(ids: DataFrame) -> np.ndarray:
     return words
 
 
+def perhaps_among(ids: DataFrame, col: str) -> Column:
+    """Whether ``col`` (a long, not null) may be one of ``ids`` (one column): true for all that are and, as the bit
+    map is of a fixed size, for some that are not."""
+    held = ids.sparkSession.sparkContext.broadcast(_asked_map(ids))
+
+    @F.pandas_udf("boolean")
+    def marked(x: pd.Series) -> pd.Series:
+        slot = _slot(x.to_numpy())
+        return pd.Series((held.value[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1)
+    return marked(F.col(col))
+
+
 def least_matches(n_hashes: int, threshold: float, miss: float, batch: int = BATCH) -> list[tuple[int, int]]:
     """(compared, least matches) after each batch: with fewer matches the posterior probability
     of a similarity of ``threshold`` or more is below ``miss``. Prior: uniform; two unlike values

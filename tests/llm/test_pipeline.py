@@ -5,7 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quarry.llm import langid, secrets
+from quarry.llm import langid, near_dedup, secrets
 from tests.llm.data import AWKWARD, SCHEMA, SF01, table
 from tests.llm.test_near_dedup import brute
 from tests.llm.test_tokens import check_packing
@@ -70,3 +70,18 @@ def test_language_stage_rejects_by_score(spark):
     docs = spark.createDataFrame([(i, f"the cat and the dog were in the house of the other one {i}", "en", "s", 5) for i in range(50)]
                                  + [(99, "საქართველო ქვეყანაა " * 9, None, "s", 5)], SCHEMA)
     assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == set(range(50))
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Only rows marked by the bit map go to the join with the dropped ones; scratch tables are zstd."""
+    words = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(60)]
+    docs = spark.createDataFrame([(i, words[i % 50], "en", "a", 1) for i in range(60)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sides = plan[plan.index("Union"):].split("Join LeftAnti")
+    assert len(sides) == 2 and "Filter NOT pythonUDF" in sides[0] and "Filter pythonUDF" in sides[1]   # one side is not joined, the other filtered first
+    assert sorted(r.doc_id for r in out.collect()) == list(range(50))
+    assert all(".zstd." in f for f in out.inputFiles())
+    ids = spark.range(0, 1000).toDF("row")
+    got = spark.range(0, 100_000).toDF("row").filter(near_dedup.perhaps_among(ids, "row"))
+    assert got.filter("row < 1000").count() == 1000 and got.count() < 1100
