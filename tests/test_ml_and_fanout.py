@@ -95,6 +95,53 @@ def test_one_job_per_iteration_serves_all_fits(spark):
         assert np.array(model.clusterCenters()) == pytest.approx(c, rel=1e-6) and model.summary.trainingCost == pytest.approx(cost, rel=1e-6)
 
 
+def test_all_starts_share_their_jobs_and_are_mllibs_own(spark):
+    """k-means|| for many (k, seed) runs as many jobs as for one, and gives the centres of MLlib's fit; also for fewer distinct points than k."""
+    df = spark.range(0, 6000, 1, 3).select((F.rand(5) + F.col("id") % 4).alias("x"), F.rand(6).alias("y"), (F.col("id") % 3).cast("double").alias("z"))
+    few = spark.range(0, 40, 1, 2).select((F.col("id") % 3).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    specs = [(k, s) for k in (2, 3, 8) for s in (42, 43, 51)]
+    jobs = spark.sparkContext.statusTracker()
+    for points in (df, few):
+        vec = ml._vectors(points, points.columns).select("features").cache()
+        spark.sparkContext.setJobGroup(f"one-{len(points.columns)}", "one start")
+        ml._start_centres(vec, specs[:1], 2)
+        spark.sparkContext.setJobGroup(f"all-{len(points.columns)}", "all starts")
+        starts = ml._start_centres(vec, specs, 2)
+        spark.sparkContext.setJobGroup("", "")
+        one, both = (len(jobs.getJobIdsForGroup(f"{g}-{len(points.columns)}")) for g in ("one", "all"))
+        assert both <= one + 2
+        for (k, seed), c in zip(specs, starts):
+            own = np.array(ml.KMeans(k=k, seed=seed, maxIter=0, solver="block").fit(vec).clusterCenters())
+            assert own.shape == c.shape and own == pytest.approx(c, rel=1e-9, abs=1e-12)
+        vec.unpersist()
+
+
+@pytest.mark.parametrize("kind", ["continuous", "few values", "one point"])
+def test_leaves_give_the_sums_of_all_points(kind):
+    random = np.random.default_rng(3)
+    x = random.normal(size=(3, 20011))
+    if kind == "few values":
+        x = np.vstack([random.integers(0, 5, 20011), random.integers(0, 9, 20011) / 4, x[0]])
+    if kind == "one point":
+        x = np.ones_like(x)
+    blocks = list(ml._blocks(x))
+    assert all(len(b) > 2 for b in blocks) and sum(b[0] for b in blocks) == pytest.approx((x * x).sum())
+    fits = [random.permutation(x.T)[:k] + (0 if k % 2 else 0.25) for k in (1, 2, 3, 5, 8, 20)]
+    if kind == "one point":
+        fits = [c + random.integers(-1, 2, c.shape) for c in fits]
+    for c, got in zip(fits, [sum(g) for g in zip(*[ml._block_sums(fits, b) for b in blocks])]):
+        want, _ = ml._sums(c[None], np.vstack([x, np.ones(x.shape[1])]))
+        assert got[:, -1].tolist() == want[0][:, -1].tolist() and got == pytest.approx(want[0], abs=1e-8)
+
+
+def test_equal_points_are_dealt_over_all_parts():
+    x = np.hstack([np.ones((2, 900)), np.random.default_rng(1).normal(size=(2, 100))])
+    sizes: dict[int, int] = {}
+    for part, m in ml._dealt(x, ml._regions(x, 10)):
+        sizes[part] = sizes.get(part, 0) + m.shape[1]
+    assert sum(sizes.values()) == 1000 and set(sizes) <= set(range(10)) and max(sizes.values()) <= 200
+
+
 def test_a_point_goes_to_the_first_of_equal_centres():
     block = np.array([[0.0, 1.0, 2.0], [1.0, 1.0, 1.0]])
     sums, cost = ml._sums(np.array([[[1.0], [1.0]], [[0.0], [2.0]]]), block)
