@@ -29,11 +29,15 @@ def _scale_stats(df: DataFrame, features: Sequence[str]) -> list[Column]:
     return [*[F.avg(c).alias(f"_m_{c}") for c in features], *[F.stddev_pop(c).alias(f"_s_{c}") for c in features]]
 
 
-def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
+def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z", *, once: bool = False) -> DataFrame:
     """(x - mean) / population std per feature (unit *population* variance, as
     scikit-learn's StandardScaler; MLlib's scaler divides by the sample std).
-    The statistics are one row, joined as a broadcast of proven size 1."""
-    out = df.crossJoin(F.broadcast(df.agg(*_scale_stats(df, features))))
+    The statistics are one row, joined as a broadcast of proven size 1; with ``once`` they are
+    found at once, for a result that is scanned more than once."""
+    stats = df.agg(*_scale_stats(df, features))
+    if once:
+        stats = df.sparkSession.createDataFrame(stats.collect(), stats.schema)
+    out = df.crossJoin(F.broadcast(stats))
     for c in features:
         s = F.col(f"_s_{c}")
         out = out.withColumn(c + suffix, F.when(s > 0, (F.col(c) - F.col(f"_m_{c}")) / s)
@@ -640,7 +644,7 @@ def kmeans_best(df: DataFrame, features: Sequence[str], k: int, *, seed: int = 4
     with the lowest within-cluster sum of squares. Returns (centres, assigned
     frame with ``cluster``, cost). Costs are scalars compared on the driver."""
     feats = list(features)
-    data = standardize(df, feats) if scale else df
+    data = standardize(df, feats, once=True) if scale else df
     cols = [c + "_z" for c in feats] if scale else feats
     data = _known(data, cols)
     fits = _fit_many(data, cols, [(k, seed + i) for i in range(n_init)], max_iter, parallel)
@@ -654,7 +658,7 @@ def elbow_curve(df: DataFrame, features: Sequence[str], ks: Sequence[int] = rang
     spark = df.sparkSession
     feats = list(features)
     cols = [c + "_z" for c in feats]
-    fits = _fit_many(_known(standardize(df, feats), cols), cols, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
+    fits = _fit_many(_known(standardize(df, feats, once=True), cols), cols, [(k, seed + i) for k in ks for i in range(n_init)], max_iter, parallel)
     best: dict[int, float] = {}
     for k, _, _, cost in fits:
         best[k] = min(cost, best.get(k, math.inf))

@@ -142,6 +142,23 @@ def test_equal_points_are_dealt_over_all_parts():
     assert sum(sizes.values()) == 1000 and set(sizes) <= set(range(10)) and max(sizes.values()) <= 200
 
 
+def test_one_copy_of_the_points_is_kept(spark, monkeypatch):
+    """Neither costs nor vectors of the rows are kept for a search, whatever the number of fits."""
+    kept, own, manager = [], ml._pass, spark.sparkContext._jsc.sc()
+    df = spark.range(0, 60000, 1, 2).select(F.rand(1).alias("x"), F.rand(2).alias("y"))
+    before = {i.id() for i in manager.getRDDStorageInfo()}
+
+    def watched(blocks, fits):
+        got = own(blocks, fits)
+        kept.append(sum(i.memSize() + i.diskSize() for i in manager.getRDDStorageInfo() if i.id() not in before))
+        return got
+    monkeypatch.setattr(ml, "_pass", watched)
+    _, assigned, _ = ml.kmeans_best(df, ["x", "y"], 3, n_init=10)
+    assert assigned.groupBy("cluster").count().count() == 3
+    assert 60000 * 2 * 8 <= max(kept) <= 60000 * 2 * 8 * 1.6
+    assert not {i.id() for i in manager.getRDDStorageInfo()} - before
+
+
 def test_a_point_goes_to_the_first_of_equal_centres():
     block = np.array([[0.0, 1.0, 2.0], [1.0, 1.0, 1.0]])
     sums, cost = ml._sums(np.array([[[1.0], [1.0]], [[0.0], [2.0]]]), block)
